@@ -45,15 +45,24 @@ def stay_drugs(
 ) -> DataFrame:
     """Per ICU stay and drug: prescription count and hour mask.
 
-    Every stay of an admission gets all prescriptions of that admission. The
-    stays table grows with the data, so the join shuffles on the admission.
+    Every stay of an admission gets all prescriptions of that admission, once
+    per row of the stays table. Repeated stay rows are counted, not joined one
+    by one. The stays table grows with the data, so it is not broadcast: the
+    join shuffles on the admission.
     """
-    stays = icustays.filter(F.col("stay_id").isNotNull()).select(*keys, "stay_id")
+    stays = (
+        icustays.filter(F.col("stay_id").isNotNull())
+        .groupBy(*keys, "stay_id")
+        .agg(F.count(F.lit(1)).alias("n_stay"))
+    )
     return (
         admission_drugs(prescriptions, keys)
         .join(stays, list(keys))
         .groupBy("stay_id", "drug")
-        .agg(F.sum("n_rx").alias("n_rx"), F.bit_or("hour_mask").alias("hour_mask"))
+        .agg(
+            F.sum(F.col("n_rx") * F.col("n_stay")).alias("n_rx"),
+            F.bit_or("hour_mask").alias("hour_mask"),
+        )
     )
 
 
@@ -86,12 +95,15 @@ def drug_segments(drugs: DataFrame, segment_rows: int = 100_000) -> DataFrame:
 def drug_statistics(
     drugs: DataFrame, min_count: int = 10, min_patients: int = 5
 ) -> DataFrame:
-    """Per drug: prescriptions and stays, for drugs reaching both thresholds."""
+    """Per drug: prescriptions and stays, for drugs reaching both thresholds.
+
+    ``drugs`` has one row per stay and drug, so counting rows counts stays.
+    """
     return (
         drugs.groupBy("drug")
         .agg(
             F.sum("n_rx").alias("drug_count"),
-            F.count_distinct("stay_id").alias("unique_patients"),
+            F.count(F.lit(1)).alias("unique_patients"),
         )
         .filter((F.col("drug_count") >= min_count) & (F.col("unique_patients") >= min_patients))
     )

@@ -65,7 +65,7 @@ def collect_segments(
     numbered = dense_sequence(df.select(*dict.fromkeys([key, *order_by, *fields])), [key, *order_by])
     entry = F.struct("seq", F.struct(*fields).alias("entry"))
     return (
-        numbered.withColumn("segment", F.floor(F.col("seq") / segment_rows))
+        numbered.withColumn("segment", F.expr(f"seq div {int(segment_rows)}"))
         .groupBy(key, "segment")
         .agg(F.array_sort(F.collect_list(entry)).alias("_entries"))
         .select(key, "segment", F.col("_entries.entry").alias(name))

@@ -73,7 +73,9 @@ def orphan_report(
         .groupBy(F.col(child_key).alias("_key"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    known = parent.select(F.col(parent_key).alias("_key"), F.lit(True).alias("_known")).distinct()
+    known = parent.select(F.col(parent_key).alias("_key")).groupBy("_key").agg(
+        F.count(F.lit(1)).alias("_known")
+    )
     lost = F.col("_known").isNull()
     return (
         per_key.join(known, "_key", "left")

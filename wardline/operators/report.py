@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from wardline.operators.features import medication_list, vocabulary
 from wardline.schemas import CLINICAL_FEATURES, REPORTED_FLAGS
@@ -89,13 +90,17 @@ def sample_rows(
 ) -> DataFrame:
     """The first ``k`` stays with the start of their sorted medication list.
 
-    The stays are picked first; only their drugs are gathered. A list entry is
-    repeated as often as it was prescribed, but no further than what is shown.
+    The stays are picked first. A list entry is repeated as often as it was
+    prescribed, so the first ``shown_drugs`` names decide what is shown and no
+    more than these are gathered per stay.
     """
     shown = features.orderBy("stay_id").limit(k)
+    by_name = Window.partitionBy("stay_id").orderBy("drug")
     repeats = F.least(F.col("n_rx"), F.lit(shown_drugs)).cast("int")
     lists = (
         drugs.join(F.broadcast(shown.select("stay_id")), "stay_id", "left_semi")
+        .withColumn("_nth", F.row_number().over(by_name))
+        .filter(F.col("_nth") <= shown_drugs)
         .groupBy("stay_id")
         .agg(F.array_sort(F.collect_list(F.struct("drug", repeats.alias("n")))).alias("_d"))
         .select(

@@ -98,7 +98,7 @@ def latest_values(
     offset: str = "offset",
     threshold: float = ALERT_THRESHOLD,
 ) -> DataFrame:
-    """Last non-null value per item by arrival, with its alert colour.
+    """Last non-null value per item by arrival over all messages, with its alert colour.
 
     The newest arrival time per item comes first; it has one row per listed
     item and is broadcast back. That keeps both steps in hash aggregation,
@@ -112,3 +112,22 @@ def latest_values(
         .agg(F.max_by("value", offset).alias("value"))
         .withColumn("colour", alert_colour(F.col("value"), threshold))
     )
+
+
+def panel_values(
+    messages: DataFrame,
+    items: Iterable[str] = PANEL_ITEMS,
+    n: int = 100,
+    time: str = "message_time",
+    offset: str = "offset",
+    threshold: float = ALERT_THRESHOLD,
+) -> DataFrame:
+    """Last non-null value per item among the ``n`` messages that arrived last."""
+    last = last_messages(messages, (time, offset), n)
+    return (
+        item_series(last, items, (time, offset))
+        .filter(F.col("value").isNotNull())
+        .groupBy("itemid")
+        .agg(F.max_by("value", F.struct(time, offset)).alias("value"))
+        .withColumn("colour", alert_colour(F.col("value"), threshold))
+    )

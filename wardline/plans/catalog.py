@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardline.config import StreamConfig
+from wardline.functions.banding import alert_colour
 from wardline.functions.messages import decode, encode
 from wardline.functions.parsing import event_time
 from wardline.operators import features as ft
@@ -544,8 +545,7 @@ def latest_vital(spark, sf):
 
 @query(_LATEST.format(rows=_LAST_100))
 def panel_values(spark, sf):
-    last = serving.last_messages(stand_in.messages(spark, sf))
-    return serving.latest_values(last, stand_in.ITEM_OF_TYPE)
+    return serving.panel_values(stand_in.messages(spark, sf), stand_in.ITEM_OF_TYPE)
 
 
 @query(
@@ -567,8 +567,6 @@ def waveform_panel(spark, sf):
     FROM {_LAST_100}"""
 )
 def last_100_messages(spark, sf):
-    from wardline.functions.banding import alert_colour
-
     return serving.last_messages(stand_in.messages(spark, sf)).select(
         micros("time").alias("time_us"),
         "offset",

@@ -40,6 +40,26 @@ def build_session(
     return builder.getOrCreate()
 
 
+def size_shuffles(
+    spark: SparkSession,
+    *inputs: DataFrame,
+    target_bytes: int = 256 * 1024 * 1024,
+    most: int = 20_000,
+) -> int:
+    """Set the shuffle partition count for jobs over ``inputs``; returns it.
+
+    Adaptive execution merges partitions that turn out small but does not
+    split large ones, so the count is set from the input size: about
+    ``target_bytes`` per partition, at least one per core, and no more than
+    ``most``, beyond which block bookkeeping costs more than spilling does.
+    """
+    total = sum(planned_bytes(df) for df in inputs)
+    wanted = max(spark.sparkContext.defaultParallelism, -(-total // target_bytes))
+    count = min(wanted, most)
+    spark.conf.set("spark.sql.shuffle.partitions", str(count))
+    return count
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named in ``spark.checkpoint.dir``.
 

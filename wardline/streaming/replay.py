@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
+from wardline.config import StreamConfig
 from wardline.functions.messages import encode
 from wardline.functions.parsing import as_time, event_time, ids_for
 from wardline.operators.ordering import dense_sequence
 from wardline.operators.quality import require_rows
 from wardline.schemas import VITAL_BANDS, Band
-from wardline.session import lookup_side
+from wardline.session import lookup_side, materialize
 from wardline.sources.tables import select_existing, vital_map
 
 # Columns an event carries, as far as the history has them.
@@ -80,14 +84,19 @@ def replay(ticks: DataFrame, history: DataFrame, length: int | None = None) -> D
     """The event of each tick; after the last event the history starts over.
 
     Works on batch and streaming ticks. A history within the measured limit is
-    broadcast; a larger one is joined by shuffle.
+    broadcast; a larger one is joined by shuffle. To stream a large history,
+    take :func:`replay_writer`, which reads only what a micro-batch needs.
     """
     length = history.count() if length is None else length
+    return _on_seq(ticks, lookup_side(history), length)
+
+
+def _on_seq(ticks: DataFrame, history: DataFrame, length: int) -> DataFrame:
     if length == 0:
         raise ValueError("nothing to replay")
     return (
         ticks.withColumn("seq", F.col("tick") % F.lit(length))
-        .join(lookup_side(history), "seq")
+        .join(history, "seq")
         .drop("tick", "tick_ts")
     )
 
@@ -95,3 +104,58 @@ def replay(ticks: DataFrame, history: DataFrame, length: int | None = None) -> D
 def replay_messages(ticks: DataFrame, history: DataFrame, length: int | None = None) -> DataFrame:
     """The replayed events as ``(key, value)`` JSON messages."""
     return encode(replay(ticks, history, length))
+
+
+def store_history(history: DataFrame) -> DataFrame:
+    """The numbered history as a scratch table whose files cover narrow ``seq`` ranges."""
+    return materialize(history, "history")
+
+
+def replay_slice(ticks: DataFrame, history: DataFrame, length: int) -> DataFrame:
+    """Replay of a batch of ticks that reads only the events between its ends.
+
+    Ticks of a batch follow each other, so their events are one range of
+    ``seq``, or two where the history starts over. The range filter reaches
+    the scan of a stored history.
+    """
+    first, last = ticks.agg(F.min("tick"), F.max("tick")).first()
+    if first is None:
+        return _on_seq(ticks, history, length)
+    seq = F.col("seq")
+    start, end = first % length, last % length
+    if last - first + 1 >= length:
+        needed = history
+    elif start <= end:
+        needed = history.filter(seq.between(start, end))
+    else:
+        needed = history.filter((seq >= start) | (seq <= end))
+    return _on_seq(ticks, needed, length)
+
+
+def replay_writer(
+    ticks: DataFrame,
+    history: DataFrame,
+    length: int,
+    emit: Callable[[DataFrame, int], None],
+    checkpoint: str,
+) -> DataStreamWriter:
+    """Replay a stored history of any size; ``emit`` gets each batch's ``(key, value)``."""
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        emit(encode(replay_slice(batch, history, length)), batch_id)
+
+    return ticks.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+
+
+def kafka_emit(config: StreamConfig) -> Callable[[DataFrame, int], None]:
+    """Sends a batch of messages to the topic."""
+
+    def emit(messages: DataFrame, batch_id: int) -> None:
+        (
+            messages.write.format("kafka")
+            .option("kafka.bootstrap.servers", config.kafka_bootstrap)
+            .option("topic", config.kafka_topic)
+            .save()
+        )
+
+    return emit
