@@ -72,3 +72,10 @@ def test_lost_rows_are_noticed(spark, fresh_dir):
     spark.range(3).write.parquet(f"{fresh_dir}/out")
     status = csv_ingest.verify_copy(spark, 5, f"{fresh_dir}/out", "t")
     assert not status["ok"] and status["note"] == "2 rows lost"
+
+
+def test_lines_of_another_length_are_counted(spark, fresh_dir):
+    path = write_gz(fresh_dir, "ragged", "a,b\n1,x\n2\n3,y,z\n")
+    status = csv_ingest.convert_csv(spark, path, f"{fresh_dir}/out")
+    assert status["rows_out"] == 3 and status["note"].startswith("2 lines")
+    assert rows(spark.read.parquet(f"{fresh_dir}/out")) == [(1, "x"), (2, None), (3, "y")]

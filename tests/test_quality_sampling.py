@@ -1,9 +1,10 @@
 import pytest
 from helpers import plan, rows
 
+from wardline import session
 from wardline.operators import quality, sampling
 from wardline.session import (
-    lookup_side, materialize, measured_bytes, scratch_root, size_shuffles,
+    lookup_side, materialize, measured_bytes, release_scratch, scratch_root, size_shuffles,
 )
 from wardline.sources.tables import select_existing, spread_by_stay
 
@@ -80,3 +81,31 @@ def test_spread_and_select(spark):
     sizes = [len(p) for p in spread_by_stay(frame, 8, salts=16).rdd.glom().collect()]
     assert sum(sizes) == 1_000 and max(sizes) < 600
     assert spread_by_stay(frame, 5).rdd.getNumPartitions() == 5
+
+
+class Settings:
+    def __init__(self, **values):
+        self.conf = self
+        self.values = values
+
+    def get(self, key, default=None):
+        return self.values.get(key, default)
+
+
+def test_only_a_local_session_falls_back_to_its_own_folder():
+    assert scratch_root(Settings(**{"spark.checkpoint.dir": "/shared/cp/"})) == "/shared/cp"
+    local = Settings(**{"spark.master": "local[2]"})
+    assert scratch_root(local) == scratch_root(local)
+    with pytest.raises(RuntimeError):
+        scratch_root(Settings(**{"spark.master": "yarn"}))
+
+
+def test_scratch_tables_are_released(spark):
+    kept = session._written[:]
+    session._written.clear()
+    path = materialize(spark.range(3), "t").inputFiles()[0]
+    assert release_scratch(spark) == 1
+    assert session._written == []
+    session._written.extend(kept)
+    with pytest.raises(Exception):
+        spark.read.parquet(path).count()

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from wardline.config import StreamConfig
 from wardline.functions.messages import decode, encode
 from wardline.operators.ordering import dense_sequence, global_sequence
-from wardline.sources.messages import message_writer, read_messages
+from wardline.sources.messages import echo_lines, message_writer, read_messages
 from wardline.streaming import ingest, replay
 
 TIMEOUT = 120
@@ -170,3 +170,8 @@ def test_endless_stream_is_stopped(spark, fresh_dir):
     with pytest.raises(TimeoutError):
         ingest.finish(running, 1)
     assert not running.isActive
+
+
+def test_echo_names_the_place(spark):
+    frame = spark.createDataFrame([("{}", "t", 3, 7)], "value string, topic string, partition int, offset long")
+    assert rows(echo_lines(frame)) == [("[t p3 @offset 7] {}",)]

@@ -27,7 +27,10 @@ def event_time(chart: str = "charttime", store: str = "storetime") -> Column:
     return F.coalesce(as_time(chart), as_time(store))
 
 
-def hour_of(column: str) -> Column:
+def hour_of(column: str, data_type: T.DataType) -> Column:
+    """Hour of day; a column that already holds times is read without a cast."""
+    if isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
+        return F.hour(column)
     return F.hour(as_time(column))
 
 

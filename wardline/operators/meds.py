@@ -30,12 +30,13 @@ def _hours(mask: Column) -> Column:
 
 def admission_drugs(prescriptions: DataFrame, keys: Sequence[str] = ADMISSION) -> DataFrame:
     """Per admission and drug: prescription count and the start hours as a bit mask."""
+    hour = hour_of("starttime", prescriptions.schema["starttime"].dataType)
     return (
         prescriptions.filter(F.col("drug").isNotNull())
         .groupBy(*keys, "drug")
         .agg(
             F.count(F.lit(1)).alias("n_rx"),
-            F.coalesce(F.bit_or(_hour_bit(hour_of("starttime"))), F.lit(0)).alias("hour_mask"),
+            F.coalesce(F.bit_or(_hour_bit(hour)), F.lit(0)).alias("hour_mask"),
         )
     )
 

@@ -77,6 +77,27 @@ def dataset_report(
     return figures.select(F.inline(rows))
 
 
+def analysis_report(
+    dataset: DataFrame,
+    features: DataFrame,
+    drugs: DataFrame,
+    vocabulary_size: int,
+    k: int = 15,
+) -> DataFrame:
+    """All figures as ``(section, metric, value)``: flags, top drugs, overview, multi-label."""
+    flags = flag_distribution(features).select(
+        F.lit("flags").alias("section"),
+        F.concat_ws("=", "flag", F.col("flag_value").cast("string")).alias("metric"),
+        F.col("stays").cast("double").alias("value"),
+    )
+    top = top_drug_share(features, drugs, k).select(
+        F.lit("top_drugs").alias("section"),
+        F.col("drug").alias("metric"),
+        F.col("stays").cast("double").alias("value"),
+    )
+    return flags.union(top).union(dataset_report(dataset, features, vocabulary_size))
+
+
 def schema_report(features: DataFrame) -> DataFrame:
     """Column names and types of the feature table."""
     rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(features.schema.fields)]

@@ -338,18 +338,6 @@ def feature_vectors(spark, sf):
     )
 
 
-@query(
-    f"""WITH {_FEATURES}
-    SELECT flag, CAST(flag_value AS INTEGER) AS flag_value, COUNT(*) AS stays
-    FROM (UNPIVOT (SELECT hr_abnormal, bp_abnormal, spo2_abnormal, rr_abnormal, temp_abnormal FROM features)
-          ON hr_abnormal, bp_abnormal, spo2_abnormal, rr_abnormal, temp_abnormal
-          INTO NAME flag VALUE flag_value)
-    GROUP BY flag, flag_value"""
-)
-def flag_distribution(spark, sf):
-    return report.flag_distribution(_features(spark, sf))
-
-
 @query(
     f"""WITH {_FEATURES}
     SELECT CAST(position AS INTEGER) AS position, drug, stay_count AS stays,
@@ -363,25 +351,57 @@ def top_drugs_pct(spark, sf):
     )
 
 
-@query(
-    f"""WITH {_FEATURES},
+_REPORT = """
     n AS (SELECT CAST(COUNT(*) AS DOUBLE) AS stays, AVG(total_prescriptions) AS avg_drugs,
                  COUNT(*) FILTER (WHERE unique_abnormal_types >= 2) AS multiple,
-                 (SELECT COUNT(*) FROM vocab) AS terms FROM features)
-    SELECT 'dataset' AS section, 'icu_stays' AS metric, stays AS value FROM n
-    UNION ALL SELECT 'dataset', 'clinical_features', 10 FROM n
-    UNION ALL SELECT 'dataset', 'drugs_in_model', terms FROM n
-    UNION ALL SELECT 'dataset', 'retention_pct', 100 FROM n
-    UNION ALL SELECT 'multi_label', 'avg_drugs_per_stay', ROUND(avg_drugs, 6) FROM n
-    UNION ALL SELECT 'multi_label', 'stays_with_2_types', multiple FROM n
-    UNION ALL SELECT 'multi_label', 'stays_with_2_types_pct', ROUND(multiple / stays * 100, 6) FROM n"""
-)
+                 (SELECT COUNT(*) FROM vocab) AS terms FROM features),
+    report AS (
+        SELECT 'dataset' AS section, 'icu_stays' AS metric, stays AS value FROM n
+        UNION ALL SELECT 'dataset', 'clinical_features', 10 FROM n
+        UNION ALL SELECT 'dataset', 'drugs_in_model', terms FROM n
+        UNION ALL SELECT 'dataset', 'retention_pct', 100 FROM n
+        UNION ALL SELECT 'multi_label', 'avg_drugs_per_stay', ROUND(avg_drugs, 6) FROM n
+        UNION ALL SELECT 'multi_label', 'stays_with_2_types', multiple FROM n
+        UNION ALL SELECT 'multi_label', 'stays_with_2_types_pct', ROUND(multiple / stays * 100, 6) FROM n
+    ),
+    flags AS (
+        SELECT flag, CAST(flag_value AS INTEGER) AS flag_value, COUNT(*) AS stays
+        FROM (UNPIVOT (SELECT hr_abnormal, bp_abnormal, spo2_abnormal, rr_abnormal, temp_abnormal FROM features)
+              ON hr_abnormal, bp_abnormal, spo2_abnormal, rr_abnormal, temp_abnormal
+              INTO NAME flag VALUE flag_value)
+        GROUP BY flag, flag_value
+    )"""
+
+
+@query(f"WITH {_FEATURES}, {_REPORT} SELECT flag, flag_value, stays FROM flags")
+def flag_distribution(spark, sf):
+    return report.flag_distribution(_features(spark, sf))
+
+
+def _vocabulary_size(tables):
+    listed = ft.medication_list(tables.drugs, tables.features)
+    return len(ft.vocabulary_terms(ft.vocabulary(listed)))
+
+
+@query(f"WITH {_FEATURES}, {_REPORT} SELECT * FROM report")
 def dataset_report(spark, sf):
     tables = _tables(spark, sf)
-    terms = ft.vocabulary_terms(ft.vocabulary(ft.medication_list(tables.drugs, tables.features)))
-    return report.dataset_report(tables.features, tables.features, len(terms)).withColumn(
-        "value", F.round("value", 6)
-    )
+    return report.dataset_report(
+        tables.features, tables.features, _vocabulary_size(tables)
+    ).withColumn("value", F.round("value", 6))
+
+
+@query(
+    f"""WITH {_FEATURES}, {_REPORT}
+    SELECT * FROM report
+    UNION ALL SELECT 'flags', flag || '=' || flag_value, CAST(stays AS DOUBLE) FROM flags
+    UNION ALL SELECT 'top_drugs', drug, CAST(stay_count AS DOUBLE) FROM vocab WHERE position < 15"""
+)
+def analysis_report(spark, sf):
+    tables = _tables(spark, sf)
+    return report.analysis_report(
+        tables.features, tables.features, tables.drugs, _vocabulary_size(tables)
+    ).withColumn("value", F.round("value", 6))
 
 
 @query(

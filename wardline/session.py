@@ -15,6 +15,7 @@ BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 UNKNOWN_SIZE_BYTES = 1 << 62
 
 _written: list[str] = []
+_local_root: list[str] = []
 
 
 def build_session(
@@ -71,9 +72,9 @@ def scratch_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    root = tempfile.mkdtemp(prefix="wardline-scratch-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if not _local_root:
+        _local_root.append(tempfile.mkdtemp(prefix="wardline-scratch-"))
+    return _local_root[0]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -21,6 +21,7 @@ from wardline.session import materialize
 log = logging.getLogger(__name__)
 
 NUMERIC_SHARE = 0.7
+_RAGGED = "_ragged"
 
 STATUS = T.StructType(
     [
@@ -33,16 +34,23 @@ STATUS = T.StructType(
 )
 
 
-def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
-    """Header CSV, plain or gzip, every column as text, null tokens still in place."""
-    return (
+def read_csv_text(spark: SparkSession, path: str, ragged: str | None = None) -> DataFrame:
+    """Header CSV, plain or gzip, every column as text, null tokens still in place.
+
+    ``ragged`` names an extra column that holds the whole line where it has
+    more or fewer fields than the header, and null elsewhere.
+    """
+    reader = (
         spark.read.option("header", True)
         .option("multiLine", True)
         .option("escape", '"')
         .option("encoding", "UTF-8")
         .option("inferSchema", False)
-        .csv(path)
     )
+    if ragged is None:
+        return reader.csv(path)
+    header = T.StructType([T.StructField(c, T.StringType()) for c in [*reader.csv(path).columns, ragged]])
+    return reader.schema(header).option("columnNameOfCorruptRecord", ragged).csv(path)
 
 
 def normalize_nulls(
@@ -109,23 +117,32 @@ def convert_csv(
 ) -> Row:
     """Convert one CSV table to snappy Parquet and check that no row was lost.
 
-    Returns ``(table, rows_in, rows_out, ok, note)``.
+    Returns ``(table, rows_in, rows_out, ok, note)``. Short lines are filled up
+    with nulls. A line with more fields than the header cannot be kept whole,
+    so lines of another length are counted in ``note``.
     """
     unpacked = Observation()
-    raw = read_csv_text(spark, source).observe(unpacked, F.count(F.lit(1)).alias("rows"))
-    text = normalize_nulls(materialize(raw, "csv"))
+    raw = read_csv_text(spark, source, _RAGGED).observe(
+        unpacked, F.count(F.lit(1)).alias("rows"), F.count(_RAGGED).alias("ragged")
+    )
+    text = normalize_nulls(materialize(raw, "csv").drop(_RAGGED))
     typed = apply_types(text, infer_types(text, keep_string))
     typed.write.option("compression", "snappy").mode("overwrite").parquet(target)
-    return verify_copy(spark, unpacked.get["rows"], target, table or source)
+    seen = unpacked.get
+    return verify_copy(spark, seen["rows"], target, table or source, seen["ragged"])
 
 
-def verify_copy(spark: SparkSession, rows_in: int, target: str, table: str) -> Row:
+def verify_copy(
+    spark: SparkSession, rows_in: int, target: str, table: str, ragged: int = 0
+) -> Row:
     """Compare the rows that went in with those that can be read back."""
     rows_out = spark.read.parquet(target).count()
     ok = rows_in == rows_out
-    note = "" if ok else f"{rows_in - rows_out} rows lost"
+    notes = [] if ok else [f"{rows_in - rows_out} rows lost"]
+    if ragged:
+        notes.append(f"{ragged} lines with more or fewer fields than the header")
     log.info("%s: %d rows in, %d rows out", table, rows_in, rows_out)
-    return Row(table=table, rows_in=rows_in, rows_out=rows_out, ok=ok, note=note)
+    return Row(table=table, rows_in=rows_in, rows_out=rows_out, ok=ok, note="; ".join(notes))
 
 
 def ingest_tables(

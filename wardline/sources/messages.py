@@ -56,3 +56,25 @@ def message_writer(
             "topic", config.kafka_topic
         )
     return writer.option("path", path)
+
+
+def echo_lines(messages: DataFrame) -> DataFrame:
+    """One readable line per consumed message: topic, partition, offset, text."""
+    place = F.format_string(
+        "[%s p%s @offset %s] %s",
+        "topic",
+        F.col("partition").cast("string"),
+        F.coalesce(F.col("offset").cast("string"), F.lit("-")),
+        "value",
+    )
+    return messages.select(place.alias("line"))
+
+
+def echo_writer(messages: DataFrame, checkpoint: str) -> DataStreamWriter:
+    """Prints consumed messages on the driver; for debugging."""
+    return (
+        echo_lines(messages)
+        .writeStream.format("console")
+        .option("truncate", False)
+        .option("checkpointLocation", checkpoint)
+    )
