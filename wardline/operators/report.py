@@ -83,6 +83,7 @@ def analysis_report(
     drugs: DataFrame,
     vocabulary_size: int,
     k: int = 15,
+    min_stays: int = 5,
 ) -> DataFrame:
     """All figures as ``(section, metric, value)``: flags, top drugs, overview, multi-label."""
     flags = flag_distribution(features).select(
@@ -90,7 +91,7 @@ def analysis_report(
         F.concat_ws("=", "flag", F.col("flag_value").cast("string")).alias("metric"),
         F.col("stays").cast("double").alias("value"),
     )
-    top = top_drug_share(features, drugs, k).select(
+    top = top_drug_share(features, drugs, k, min_stays=min_stays).select(
         F.lit("top_drugs").alias("section"),
         F.col("drug").alias("metric"),
         F.col("stays").cast("double").alias("value"),

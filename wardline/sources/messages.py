@@ -45,9 +45,13 @@ def message_writer(
     fmt: str = "kafka",
     path: str | None = None,
 ) -> DataStreamWriter:
-    """Append-mode writer of ``(key, value)``; ``.start()`` is left to the caller."""
+    """Append-mode writer of ``(key, value)``; ``.start()`` is left to the caller.
+
+    Any other sink than Kafka gets the message texts alone.
+    """
     writer = (
-        messages.writeStream.format(fmt)
+        (messages if fmt == "kafka" else messages.select("value"))
+        .writeStream.format(fmt)
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
     )

@@ -26,13 +26,10 @@ EVENT_COLUMNS = [
 
 def with_event_time(charts: DataFrame) -> DataFrame:
     """Parsed times and ``event_time``; readings without any time are dropped."""
-    return charts.withColumns(
-        {
-            "charttime_ts": as_time("charttime"),
-            "storetime_ts": as_time("storetime"),
-            "event_time": event_time(),
-        }
-    ).filter(F.col("event_time").isNotNull())
+    chart, store = as_time("charttime"), as_time("storetime")
+    return charts.filter(chart.isNotNull() | store.isNotNull()).withColumns(
+        {"charttime_ts": chart, "storetime_ts": store, "event_time": event_time()}
+    )
 
 
 def name_vitals(events: DataFrame, bands: tuple[Band, ...] = VITAL_BANDS) -> DataFrame:
@@ -159,3 +156,14 @@ def kafka_emit(config: StreamConfig) -> Callable[[DataFrame, int], None]:
         )
 
     return emit
+
+
+def file_emit(fmt: str, path: str) -> Callable[[DataFrame, int], None]:
+    """Writes the message texts of a batch to a folder of its own."""
+
+    def emit(messages: DataFrame, batch_id: int) -> None:
+        messages.select("value").write.format(fmt).mode("overwrite").save(
+            f"{path}/batch_id={batch_id}"
+        )
+
+    return emit
