@@ -30,15 +30,15 @@ def base(spark, fresh_dir):
         "diagnoses_icd": ([(s, "x" if s < 8 else "y") for s in range(10)], S.DIAGNOSES),
     }
     for name, (entries, schema) in tables.items():
-        spark.createDataFrame(entries, schema).write.parquet(f"{fresh_dir}/{name}.parquet")
+        spark.createDataFrame(entries, schema).write.parquet(f"{fresh_dir}/data/{name}.parquet")
     spark.createDataFrame([("x", "Title X")], "icd_code string, title string").write.parquet(
-        f"{fresh_dir}/d_icd_diagnoses.parquet"
+        f"{fresh_dir}/data/d_icd_diagnoses.parquet"
     )
     return fresh_dir
 
 
 def test_features(spark, base):
-    built = jobs.feature_job(spark, base, f"{base}/out")
+    built = jobs.feature_job(spark, f"{base}/data", f"{base}/out")
     assert rows(built.features, "stay_id") == [(100 + s,) for s in range(5)]
     assert rows(spark.read.parquet(f"{base}/out/vocabulary"), "position", "drug") == [(0, "b"), (1, "a")]
     vectors = {r["stay_id"]: r for r in spark.read.parquet(f"{base}/out/features").collect()}
@@ -51,7 +51,7 @@ def test_features(spark, base):
 
 
 def test_recommendations(spark, base):
-    summary = jobs.recommendation_job(spark, base, f"{base}/out", k=1)
+    summary = jobs.recommendation_job(spark, f"{base}/data", f"{base}/out", k=1)
     assert rows(summary) == [(2, 2, 1, 1.0)]
     assert rows(spark.read.parquet(f"{base}/out"), "icd_code", "title", "drug", "pair_count") == [
         ("x", "Title X", "b", 16), ("y", None, "b", 4),
@@ -92,7 +92,7 @@ def test_ingest_raises_when_a_table_is_missing(spark, fresh_dir):
 
 
 def test_signals(spark, base):
-    table = spark.read.parquet(f"{base}/chartevents.parquet").withColumn("row_id", replay.F.monotonically_increasing_id())
+    table = spark.read.parquet(f"{base}/data/chartevents.parquet").withColumn("row_id", replay.F.monotonically_increasing_id())
     table.write.parquet(f"{base}/numbered/chartevents.parquet")
     out = jobs.signal_job(spark, f"{base}/numbered", f"{base}/signals", "row_id")
     assert rows(out.selectExpr("stay_id", "exists(abnormal_signals, x -> x.itemid = 220050) AS bp"), "stay_id", "bp")[:3] == [

@@ -4,7 +4,8 @@ from helpers import plan, rows
 from wardline import session
 from wardline.operators import quality, sampling
 from wardline.session import (
-    lookup_side, materialize, measured_bytes, release_scratch, scratch_root, size_shuffles,
+    lookup_side, materialize, measured_bytes, partitions_for, release_scratch, scratch_root,
+    size_shuffles,
 )
 from wardline.sources.tables import select_existing, spread_by_stay
 
@@ -67,10 +68,15 @@ def test_scratch_tables_live_in_the_checkpoint_folder(spark):
 
 def test_shuffle_partitions_follow_the_input(spark):
     before = spark.conf.get("spark.sql.shuffle.partitions")
+    frame = spark.range(10_000)
+    unknown = spark.createDataFrame([(1,)], "a int")
+    assert partitions_for(frame, target_bytes=1_000) == 80
+    assert partitions_for(frame, target_bytes=1_000, most=30) == 30
+    assert partitions_for(unknown) == 1
     try:
-        assert size_shuffles(spark, spark.range(10)) == spark.sparkContext.defaultParallelism
-        assert size_shuffles(spark, spark.range(10_000), target_bytes=1_000) == 80
-        assert size_shuffles(spark, spark.range(10_000), target_bytes=1_000, most=30) == 30
+        assert size_shuffles(spark, frame) == int(before)
+        assert size_shuffles(spark, frame, target_bytes=1_000) == 80
+        assert size_shuffles(spark, unknown) == 80
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from wardline.config import StreamConfig
 from wardline.functions.messages import decode, encode
+from wardline.operators import ordering
 from wardline.operators.ordering import dense_sequence, global_sequence
 from wardline.sources.messages import echo_lines, message_writer, read_messages
 from wardline.streaming import ingest, replay
@@ -25,6 +26,14 @@ def test_distributed_numbers_equal_the_global_window(spark):
     assert "Exchange SinglePartition" not in ordering[: ordering.index("BroadcastExchange")]
 
 
+def test_large_inputs_get_more_ranges(spark, monkeypatch):
+    frame = spark.range(5_000).selectExpr("id % 7 AS k", "id")
+    monkeypatch.setattr(ordering, "partitions_for", lambda df: 50)
+    ours = dense_sequence(frame, ["k", "id"])
+    assert len(ours.inputFiles()) == 50
+    assert ours.exceptAll(global_sequence(frame, ["k", "id"])).isEmpty()
+
+
 def history_rows(spark):
     return charts(
         spark,

@@ -44,6 +44,11 @@ class StreamConfig:
             pg_table=env.get("PG_TABLE", cls.pg_table),
         )
 
+    @property
+    def tables(self) -> str:
+        """Folder of the Parquet tables."""
+        return f"{self.base_path.rstrip('/')}/data"
+
     @property
     def jdbc_url(self) -> str:
         return f"jdbc:postgresql://{self.pg_host}:{self.pg_port}/{self.pg_db}"

@@ -96,8 +96,11 @@ def vectorize(features: DataFrame, drugs: DataFrame, terms: list[str]) -> DataFr
     return model.transform(wide).drop(*drug_count_columns(terms))
 
 
-def vector_entries(vectors: DataFrame, column: str) -> DataFrame:
-    """One row per stay and vector position."""
-    return vectors.select(
-        "stay_id", F.posexplode(vector_to_array(column)).alias("position", "value")
-    ).select(F.lit(column).alias("vector"), "stay_id", "position", "value")
+def vector_entries(vectors: DataFrame, *columns: str) -> DataFrame:
+    """One row per stay, vector column and position, in one pass."""
+    named = [
+        F.struct(F.lit(c).alias("vector"), vector_to_array(c).alias("entries")) for c in columns
+    ]
+    return vectors.select("stay_id", F.inline(F.array(*named))).select(
+        "vector", "stay_id", F.posexplode("entries").alias("position", "value")
+    )

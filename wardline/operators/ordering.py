@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from wardline.session import materialize
+from wardline.session import materialize, partitions_for
 
 # monotonically_increasing_id keeps the partition above this bit, the row below.
 _ROW_BITS = 33
@@ -28,7 +28,7 @@ def dense_sequence(df: DataFrame, order_by: list[str], name: str = "seq") -> Dat
     is what lets many rows with one leading value spread over partitions.
     """
     placed = materialize(
-        df.repartitionByRange(*order_by)
+        _by_range(df, order_by)
         .sortWithinPartitions(*order_by)
         .withColumn("_slot", F.monotonically_increasing_id()),
         "sequence",
@@ -48,6 +48,15 @@ def dense_sequence(df: DataFrame, order_by: list[str], name: str = "seq") -> Dat
     )
 
 
+def _by_range(df: DataFrame, order_by: list[str]) -> DataFrame:
+    # The configured partition count, which adaptive execution may lower, unless
+    # the input is too large for it.
+    wanted = partitions_for(df)
+    if wanted <= int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        return df.repartitionByRange(*order_by)
+    return df.repartitionByRange(wanted, *order_by)
+
+
 def collect_segments(
     df: DataFrame,
     key: str,

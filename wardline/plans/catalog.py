@@ -333,9 +333,7 @@ def drug_vocab_top30(spark, sf):
 )
 def feature_vectors(spark, sf):
     vectors = flows.vectors(_tables(spark, sf))
-    return ft.vector_entries(vectors, "clinical_features").union(
-        ft.vector_entries(vectors, "drug_features")
-    )
+    return ft.vector_entries(vectors, "clinical_features", "drug_features")
 
 
 @query(

@@ -10,13 +10,13 @@ from wardline.operators import features as ft
 from wardline.operators import meds, quality, recommend, report, vitals
 from wardline.plans import flows
 from wardline.schemas import VITAL_BANDS
-from wardline.session import BROADCAST_LIMIT_BYTES, measured_bytes
+from wardline.session import BROADCAST_LIMIT_BYTES, measured_bytes, size_shuffles
 from wardline.sources.csv_ingest import ingest_tables, require_complete
 from wardline.sources.messages import message_writer, read_messages
 from wardline.sources.tables import read_table, read_tables
 from wardline.streaming import ingest, replay
 
-# The clinical tables and the columns that must hold up.
+# The tables of the feature job and their columns that must not be empty.
 KEY_COLUMNS = {
     "chartevents": ["stay_id", "itemid", "valuenum"],
     "prescriptions": ["subject_id", "hadm_id", "drug"],
@@ -51,6 +51,7 @@ def feature_job(
     scan of each table's key columns.
     """
     tables = read_tables(spark, base, tuple(KEY_COLUMNS))
+    size_shuffles(spark, *tables.values())
     if validate:
         for name, columns in KEY_COLUMNS.items():
             quality.validate(tables[name].select(*columns), name)
@@ -92,6 +93,7 @@ def recommendation_job(spark: SparkSession, base: str, out: str, k: int = 5) ->
     diagnoses = read_table(spark, base, "diagnoses_icd")
     prescriptions = read_table(spark, base, "prescriptions")
     titles = read_table(spark, base, "d_icd_diagnoses")
+    size_shuffles(spark, diagnoses, prescriptions)
     best = recommend.recommendations(recommend.co_occurrence(diagnoses, prescriptions), k)
     recommend.with_titles(best, titles).write.mode("overwrite").parquet(out)
     return recommend.recommendation_summary(spark.read.parquet(out))
@@ -112,7 +114,7 @@ def replay_job(
     A history within the limit is broadcast to each micro-batch. A larger one
     stays on disk, and each micro-batch reads the part it replays.
     """
-    charts = read_table(spark, config.base_path, "chartevents")
+    charts = read_table(spark, config.tables, "chartevents")
     history = replay.store_history(replay.replay_history(charts, subject_id, VITAL_BANDS))
     length = history.count()
     ticks = replay.clock(spark, config.rows_per_second) if ticks is None else ticks

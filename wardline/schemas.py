@@ -78,6 +78,8 @@ TEXT_NULL_TOKENS: tuple[str, ...] = (
     "nan", "None", "NULL", "null", "N/A", "n/a", "", " ",
 )
 
+# Column names and order of the clinical tables, of a message and
+# of the serving table.
 CHARTEVENTS = T.StructType(
     [
         T.StructField("subject_id", T.LongType()),

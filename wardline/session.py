@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+MOST_PARTITIONS = 20_000
 # Rows the driver hands over carry a default estimate near the largest long.
 UNKNOWN_SIZE_BYTES = 1 << 62
 
@@ -41,22 +43,30 @@ def build_session(
     return builder.getOrCreate()
 
 
+def partitions_for(
+    *inputs: DataFrame, target_bytes: int = TARGET_PARTITION_BYTES, most: int = MOST_PARTITIONS
+) -> int:
+    """Partitions of about ``target_bytes`` for these inputs; 1 where no size is known.
+
+    Beyond ``most``, block bookkeeping costs more than spilling does.
+    """
+    known = [n for n in map(planned_bytes, inputs) if n < UNKNOWN_SIZE_BYTES]
+    return max(1, min(-(-sum(known) // target_bytes), most))
+
+
 def size_shuffles(
     spark: SparkSession,
     *inputs: DataFrame,
-    target_bytes: int = 256 * 1024 * 1024,
-    most: int = 20_000,
+    target_bytes: int = TARGET_PARTITION_BYTES,
+    most: int = MOST_PARTITIONS,
 ) -> int:
-    """Set the shuffle partition count for jobs over ``inputs``; returns it.
+    """Raise the shuffle partition count to what jobs over ``inputs`` need; returns it.
 
     Adaptive execution merges partitions that turn out small but does not
-    split large ones, so the count is set from the input size: about
-    ``target_bytes`` per partition, at least one per core, and no more than
-    ``most``, beyond which block bookkeeping costs more than spilling does.
+    split large ones, so a count set too low stays too low. It is never lowered.
     """
-    total = sum(planned_bytes(df) for df in inputs)
-    wanted = max(spark.sparkContext.defaultParallelism, -(-total // target_bytes))
-    count = min(wanted, most)
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    count = max(current, partitions_for(*inputs, target_bytes=target_bytes, most=most))
     spark.conf.set("spark.sql.shuffle.partitions", str(count))
     return count
 
