@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from helpers import charts, rows
+from helpers import charts, plan, rows
 from pyspark.ml.feature import CountVectorizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -177,3 +177,14 @@ def test_report_figures(spark):
 def test_schema_report(spark):
     frame = spark.createDataFrame([(1, "a")], "stay_id long, drug string")
     assert rows(report.schema_report(frame)) == [(0, "stay_id", "bigint"), (1, "drug", "string")]
+
+
+def test_counts_come_before_the_join(spark):
+    rx = spark.range(100).selectExpr("1L AS hadm_id", "'d' || id % 5 AS drug", "NULL AS starttime")
+    icu = spark.range(100).selectExpr("1L AS hadm_id", "id % 2 AS stay_id")
+    drugs = meds.stay_drugs(rx, icu, ("hadm_id",))
+    text = plan(drugs)
+    # Below the join: both inputs combined in their own tasks, then merged.
+    below = text[text.index("Join") :]
+    assert below.count("HashAggregate") == 4 and below.count("partial_count") == 2
+    assert rows(drugs, "stay_id", "drug", "n_rx") == [(s, f"d{d}", 1000) for s in (0, 1) for d in range(5)]

@@ -85,9 +85,17 @@ def abnormal_signals(classified: DataFrame, extra: tuple[str, ...] = ()) -> Data
 
 
 def signal_segments(
-    classified: DataFrame, row_id: str, segment_rows: int = 100_000
+    classified: DataFrame, row_id: str | None = None, segment_rows: int = 100_000
 ) -> DataFrame:
-    """The abnormal readings of every stay as time-ordered ``abnormal_signals`` lists."""
+    """The abnormal readings of every stay as time-ordered ``abnormal_signals`` lists.
+
+    Readings of one time follow ``row_id``. Without such a column the place of
+    the row in the scanned files decides, so ``classified`` should then come
+    from a scan without a shuffle in between.
+    """
+    if row_id is None:
+        row_id = "_row"
+        classified = classified.withColumn(row_id, F.monotonically_increasing_id())
     return collect_segments(
         abnormal_signals(classified, (row_id,)),
         key="stay_id",

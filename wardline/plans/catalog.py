@@ -600,17 +600,24 @@ def last_100_messages(spark, sf):
 @query(
     """
     SELECT event_id, epoch_us(event_time) AS event_time_us
-    FROM (SELECT event_id, COALESCE(CASE WHEN event_id % 3 = 2 THEN ts END,
-                                    CASE WHEN event_id % 7 > 0 THEN ts + INTERVAL 1 HOUR END) AS event_time
+    FROM (SELECT event_id,
+                 CASE WHEN event_type IN ('purchase', 'error') THEN ts
+                      WHEN event_type <> 'signup' THEN ts + INTERVAL 1 HOUR END AS event_time
           FROM events)
     WHERE event_time IS NOT NULL"""
 )
 def event_time_fallback(spark, sf):
-    nth = F.col("event_id")
+    # Purchases and errors have a charting time. Clicks and views only a storing
+    # time, signups none that can be read.
+    kind = F.col("event_type")
     charts = read_table(spark, sf, "events").select(
         "event_id",
-        F.when(nth % 3 == 1, "not a time").when(nth % 3 == 2, F.col("ts").cast("string")).alias("charttime"),
-        F.when(nth % 7 > 0, (F.col("ts") + F.expr("INTERVAL 1 HOUR")).cast("string")).alias("storetime"),
+        F.when(kind.isin("purchase", "error"), F.col("ts").cast("string"))
+        .when(kind.isin("view", "signup"), "not a time")
+        .alias("charttime"),
+        F.when(kind == "signup", "neither")
+        .when(kind != "error", (F.col("ts") + F.expr("INTERVAL 1 HOUR")).cast("string"))
+        .alias("storetime"),
     )
     return charts.withColumn("event_time", event_time()).filter("event_time IS NOT NULL").select(
         "event_id", micros("event_time").alias("event_time_us")

@@ -79,7 +79,7 @@ def feature_job(
     return built
 
 
-def signal_job(spark: SparkSession, base: str, out: str, row_id: str) -> DataFrame:
+def signal_job(spark: SparkSession, base: str, out: str, row_id: str | None = None) -> DataFrame:
     """Stores the abnormal readings per stay as bounded lists."""
     charts = read_table(spark, base, "chartevents")
     vitals.signal_segments(vitals.abnormal_charts(charts), row_id).write.mode(
