@@ -4,7 +4,7 @@ from helpers import plan, rows
 from wardline import session
 from wardline.operators import quality, sampling
 from wardline.session import (
-    lookup_side, materialize, measured_bytes, partitions_for, release_scratch, scratch_root,
+    input_bytes, lookup_side, materialize, measured_bytes, partitions_for, release_scratch, scratch_root,
     size_shuffles,
 )
 from wardline.sources.tables import select_existing, spread_by_stay
@@ -73,6 +73,7 @@ def test_shuffle_partitions_follow_the_input(spark):
     assert partitions_for(frame, target_bytes=1_000) == 80
     assert partitions_for(frame, target_bytes=1_000, most=30) == 30
     assert partitions_for(unknown) == 1
+    assert input_bytes(frame.join(frame.withColumnRenamed("id", "other"))) == 2 * input_bytes(frame)
     try:
         assert size_shuffles(spark, frame) == int(before)
         assert size_shuffles(spark, frame, target_bytes=1_000) == 80

@@ -50,8 +50,8 @@ def partitions_for(
 
     Beyond ``most``, block bookkeeping costs more than spilling does.
     """
-    known = [n for n in map(planned_bytes, inputs) if n < UNKNOWN_SIZE_BYTES]
-    return max(1, min(-(-sum(known) // target_bytes), most))
+    total = sum(input_bytes(df) for df in inputs)
+    return max(1, min(-(-total // target_bytes), most))
 
 
 def size_shuffles(
@@ -117,9 +117,15 @@ def release_scratch(spark: SparkSession) -> int:
     return released
 
 
-def planned_bytes(df: DataFrame) -> int:
-    """The optimizer's own size estimate of ``df``."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def input_bytes(df: DataFrame) -> int:
+    """Size of what ``df`` reads, by the optimizer's figures for its scans.
+
+    Its figure for a join is the product of both sides, useless as a bound, so
+    only the leaves count. Leaves without a known size are left out.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(n for n in sizes if n < UNKNOWN_SIZE_BYTES)
 
 
 def measured_bytes(df: DataFrame) -> int:
@@ -140,11 +146,10 @@ def lookup_side(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
 
     Beyond the limit the table is returned unmarked: the join shuffles on its
     key and adaptive execution splits skewed partitions of the larger side.
-    A Parquet table can be many times larger in memory than on disk, so only
-    an estimate far above the limit skips the measuring.
+    Measuring runs the plan of ``df`` once; it is skipped where the scans alone
+    are far above the limit.
     """
-    planned = planned_bytes(df)
-    if 16 * limit < planned < UNKNOWN_SIZE_BYTES:
+    if input_bytes(df) > 16 * limit:
         return df
     return F.broadcast(df) if measured_bytes(df) <= limit else df
 
