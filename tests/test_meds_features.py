@@ -1,6 +1,5 @@
 import random
 
-import pytest
 from helpers import charts, plan, rows
 from pyspark.ml.feature import CountVectorizer
 from pyspark.ml.functions import vector_to_array

@@ -71,6 +71,19 @@ def test_window_reaches_the_scan(spark, fresh_dir):
     assert "GreaterThanOrEqual(event_time" in text and "EqualTo(subject_id,1)" in text
 
 
+def test_days_before_the_span_are_not_read(spark, fresh_dir):
+    frame = served(
+        spark, *[(str(s), "spo2", float(s), f"2150-01-{d:02d} 12:00:00") for s in range(20) for d in range(1, 6)]
+    )
+    serving.store_served(frame, f"{fresh_dir}/t")
+    table = spark.read.parquet(f"{fresh_dir}/t")
+    recent = serving.vital_trend(table, as_of=datetime(2150, 1, 5, 12))
+    assert recent.count() == 40
+    text = plan(recent)
+    assert "event_date" in text[text.index("PartitionFilters") : text.index("PushedFilters")]
+    assert rows(table.drop("event_date")) == rows(frame.select(*[c for c in table.columns if c != "event_date"]))
+
+
 def test_last_values_follow_arrival(spark):
     frame = spark.createDataFrame(
         [(10, 1, "220045", "79.9"), (10, 2, "220045", "80"), (9, 3, "220045", "5"), (11, 4, "220045", None),

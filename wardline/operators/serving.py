@@ -27,14 +27,38 @@ def _instant(as_of: datetime | Column | None) -> Column:
     return as_of if isinstance(as_of, Column) else F.lit(as_of)
 
 
+def store_served(served: DataFrame, path: str, mode: str = "append") -> None:
+    """Write serving rows by day, clustered by patient and time.
+
+    Range partitioning on all three columns lets a day or patient with very
+    many rows fill several files, each covering a narrow range.
+    """
+    cluster = ["event_date", "subject_id", "event_time"]
+    (
+        served.withColumn("event_date", F.to_date("event_time"))
+        .repartitionByRange(*cluster)
+        .sortWithinPartitions(*cluster)
+        .write.mode(mode)
+        .partitionBy("event_date")
+        .parquet(path)
+    )
+
+
 def trailing(
     df: DataFrame,
     span: str,
     as_of: datetime | Column | None = None,
     column: str = "event_time",
 ) -> DataFrame:
-    """Rows not older than ``span`` (such as ``24 hours``) before ``as_of``."""
-    return df.filter(F.col(column) >= _instant(as_of) - F.expr(f"INTERVAL {span}"))
+    """Rows not older than ``span`` (such as ``24 hours``) before ``as_of``.
+
+    A table stored by day is read from the first day of the span on.
+    """
+    start = _instant(as_of) - F.expr(f"INTERVAL {span}")
+    recent = df.filter(F.col(column) >= start)
+    if column == "event_time" and "event_date" in df.columns:
+        recent = recent.filter(F.col("event_date") >= F.to_date(start))
+    return recent
 
 
 def between(

@@ -515,17 +515,16 @@ def patient_list(spark, sf):
     return serving.patient_list(stand_in.served(spark, sf))
 
 
-@query(
-    """
+_TREND = """
     SELECT CAST(user_id AS VARCHAR) AS subject_id, epoch_us(ts) AS time_us, value,
            CASE event_type WHEN 'click' THEN 'Heart Rate (bpm)' WHEN 'view' THEN 'Systolic BP (mmHg)'
                            WHEN 'signup' THEN 'Respiratory Rate (bpm)' ELSE 'SpO2 (%)' END AS metric
     FROM events
     WHERE event_type IN ('click', 'view', 'signup', 'error')
       AND ts >= (SELECT MAX(ts) FROM events) - INTERVAL 24 HOUR"""
-)
-def vital_trend_24h(spark, sf):
-    served = stand_in.served(spark, sf)
+
+
+def _trend(served):
     return (
         serving.vital_trend(served, as_of=serving.newest_time(served))
         .withColumn("time_us", micros("time"))
@@ -533,6 +532,18 @@ def vital_trend_24h(spark, sf):
     )
 
 
+@query(_TREND)
+def vital_trend_24h(spark, sf):
+    return _trend(stand_in.served(spark, sf))
+
+
+@query(_TREND)
+def vital_trend_by_day(spark, sf):
+    path = scratch_path(spark, "served-by-day")
+    serving.store_served(stand_in.served(spark, sf), path)
+    return _trend(spark.read.parquet(path))
+
+
 @query(
     """
     SELECT event_id, epoch_us(ts) AS time_us, value FROM events

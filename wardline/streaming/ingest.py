@@ -21,11 +21,10 @@ REJECT_COLUMNS = ("message", "reject_reason", "topic", "partition", "offset")
 
 
 def serving_rows(decoded: DataFrame) -> DataFrame:
-    """Sound messages as rows of the serving table, defaults filled in."""
-    now = F.current_timestamp()
+    """Sound messages as rows of the serving table, stamped with the loading time."""
     return (
         decoded.filter(F.col("reject_reason").isNull())
-        .withColumns({"timestamp": F.coalesce("timestamp", now), "created_at": now})
+        .withColumn("created_at", F.current_timestamp())
         .select(*SERVING.fieldNames())
     )
 
