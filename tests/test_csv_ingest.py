@@ -59,10 +59,16 @@ def test_no_row_is_lost_over_many_chunks(spark, fresh_dir):
     assert any(f.endswith(".snappy.parquet") for f in os.listdir(f"{fresh_dir}/out"))
 
 
-def test_missing_tables_are_skipped_and_reported(spark, fresh_dir):
+def test_failing_tables_are_skipped_and_reported(spark, fresh_dir):
     path = write_gz(fresh_dir, "ok", "a\n1\n2\n")
-    status = csv_ingest.ingest_tables(spark, {"ok": path, "gone": f"{fresh_dir}/none.csv.gz"}, fresh_dir)
-    assert rows(status, "table", "rows_out", "ok") == [("gone", None, False), ("ok", 2, True)]
+    with open(f"{fresh_dir}/broken.csv.gz", "wb") as out:
+        out.write(open(path, "rb").read()[:-12] + b"x" * 40)
+    inputs = {"broken": f"{fresh_dir}/broken.csv.gz", "gone": f"{fresh_dir}/none.csv.gz", "ok": path}
+    status = csv_ingest.ingest_tables(spark, inputs, fresh_dir)
+    assert rows(status, "table", "rows_out", "ok") == [
+        ("broken", None, False), ("gone", None, False), ("ok", 2, True),
+    ]
+    assert all(n.startswith("failed: ") for (n,) in rows(status.filter("not ok"), "note"))
     with pytest.raises(RuntimeError, match="gone"):
         csv_ingest.require_complete(status)
     csv_ingest.require_complete(status.filter("ok"))

@@ -1,9 +1,10 @@
 import json
 
 import pytest
-from helpers import charts, plan, rows
+from helpers import chart_row, charts, plan, rows
 from pyspark.sql import functions as F
 
+from wardline import schemas as S
 from wardline.config import StreamConfig
 from wardline.functions.messages import decode, encode
 from wardline.operators import ordering
@@ -54,6 +55,17 @@ def test_history_order_fallback_and_drops(spark):
         replay.replay_history(history_rows(spark), subject_id=2)
 
 
+def test_copies_of_one_event_are_spread(spark):
+    event = chart_row(1, 220045, "70", "2150-01-01 00:00:30")
+    others = [chart_row(1, 220045, "71", f"2150-01-01 00:00:{i % 60:02d}") for i in range(100)]
+    frame = spark.createDataFrame([event, *others], S.CHARTEVENTS)
+    copies = frame.join(spark.range(1_000).hint("broadcast"), F.col("value") == "70").drop("id")
+    history = replay.replay_history(frame.filter("value = '71'").union(copies.repartition(8)))
+    assert rows(history.groupBy("value").count()) == [("70", 1_000), ("71", 100)]
+    assert history.agg(F.max("seq"), F.count_distinct("seq")).first() == (1_099, 1_100)
+    assert max(spark.read.parquet(f).count() for f in history.inputFiles()) < 500
+
+
 def test_ticks_wrap_around(spark):
     history = replay.replay_history(history_rows(spark))
     ticks = spark.range(10).withColumnRenamed("id", "tick")

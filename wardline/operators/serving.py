@@ -77,7 +77,11 @@ def vital_trend(
     span: str = "24 hours",
     as_of: datetime | Column | None = None,
 ) -> DataFrame:
-    """Captioned series of the trend vitals, of one patient or of all."""
+    """Captioned series of the trend vitals, of one patient or of all.
+
+    Sorted by time, then by the other columns, so that many readings of one
+    time do not end up in one sort partition.
+    """
     recent = trailing(served, span, as_of).filter(F.col("vital_name").isin(list(TREND_LABELS)))
     if subject_id is not None:
         recent = recent.filter(F.col("subject_id") == subject_id)
@@ -86,7 +90,7 @@ def vital_trend(
         F.col("event_time").alias("time"),
         F.col("valuenum").alias("value"),
         caption(F.col("vital_name")).alias("metric"),
-    ).orderBy("time")
+    ).orderBy("time", "subject_id", "metric", "value")
 
 
 def patient_list(served: DataFrame) -> DataFrame:

@@ -89,17 +89,17 @@ def signal_segments(
 ) -> DataFrame:
     """The abnormal readings of every stay as time-ordered ``abnormal_signals`` lists.
 
-    Readings of one time follow ``row_id``. Without such a column the place of
-    the row in the scanned files decides, so ``classified`` should then come
-    from a scan without a shuffle in between.
+    Readings of one time follow ``row_id`` if given, then their place in the
+    scanned files, which also lets many copies of one reading spread over
+    partitions. So ``classified`` should come from a scan without a shuffle in
+    between; else call :func:`collect_segments` with a unique order.
     """
-    if row_id is None:
-        row_id = "_row"
-        classified = classified.withColumn(row_id, F.monotonically_increasing_id())
+    ties = ["_row"] if row_id is None else [row_id, "_row"]
+    placed = classified.withColumn("_row", F.monotonically_increasing_id())
     return collect_segments(
-        abnormal_signals(classified, (row_id,)),
+        abnormal_signals(placed, tuple(ties)),
         key="stay_id",
-        order_by=["charttime", row_id],
+        order_by=["charttime", *ties],
         fields=["itemid", "valuenum_double", "charttime"],
         name="abnormal_signals",
         segment_rows=segment_rows,

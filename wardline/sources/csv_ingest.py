@@ -9,7 +9,8 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -151,7 +152,7 @@ def ingest_tables(
     target_base: str,
     keep_string: dict[str, tuple[str, ...]] | None = None,
 ) -> DataFrame:
-    """Convert several tables, one status row each; a missing input is noted and skipped."""
+    """Convert several tables, one status row each; an input that fails is noted and skipped."""
     status = []
     for table, source in sources.items():
         target = f"{target_base.rstrip('/')}/{table}.parquet"
@@ -159,9 +160,10 @@ def ingest_tables(
             status.append(
                 convert_csv(spark, source, target, table, (keep_string or {}).get(table, ()))
             )
-        except AnalysisException as error:
+        except (PySparkException, Py4JJavaError) as error:
             log.warning("%s skipped: %s", table, error)
-            status.append(Row(table=table, rows_in=None, rows_out=None, ok=False, note="not readable"))
+            note = f"failed: {str(error).splitlines()[0]}"
+            status.append(Row(table=table, rows_in=None, rows_out=None, ok=False, note=note))
     return spark.createDataFrame([tuple(row) for row in status], STATUS)
 
 

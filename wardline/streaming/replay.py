@@ -48,19 +48,21 @@ def replay_history(
 ) -> DataFrame:
     """The monitored events in time order, numbered from 0 in ``seq``.
 
-    Events with equal time and item follow ``row_id``. Without such a column
-    the place of the row in the scanned files decides; the numbered history is
-    stored once, so every micro-batch sees the same order either way.
+    Events with equal time and item follow ``row_id`` if given, then their
+    place in the scanned files. The place also lets many copies of one event
+    spread over partitions. It repeats if a task does, as nothing is shuffled
+    before the numbering, and the numbered history is stored once, so every
+    micro-batch sees the same order.
     """
     if subject_id is not None:
         charts = charts.filter(F.col("subject_id") == subject_id)
     ids = ids_for(charts.schema["itemid"].dataType, [b.itemid for b in bands])
-    events = with_event_time(charts.filter(F.col("itemid").isin(ids)))
-    if row_id is None:
-        row_id = "_row"
-        events = events.withColumn(row_id, F.monotonically_increasing_id())
-    named = name_vitals(select_existing(events, [*EVENT_COLUMNS, row_id]), bands)
-    numbered = dense_sequence(named, ["event_time", "itemid_str", row_id])
+    events = with_event_time(charts.filter(F.col("itemid").isin(ids))).withColumn(
+        "_row", F.monotonically_increasing_id()
+    )
+    ties = ["_row"] if row_id is None else [row_id, "_row"]
+    named = name_vitals(select_existing(events, [*EVENT_COLUMNS, *ties]), bands)
+    numbered = dense_sequence(named, ["event_time", "itemid_str", *ties])
     return require_rows(numbered.drop("_row"), "replay history")
 
 
