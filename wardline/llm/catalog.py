@@ -5,16 +5,24 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wardline.llm import bpe
+from wardline.llm import bpe, token_store
 from wardline.llm.common import read
+from wardline.session import scratch_path
 
 
 def op7_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "llm-token-store")
+    token_store.write_store(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), path)
+    return token_store.read_store(spark, path, with_ids=False)
+
+
 QUERIES = {
     "op7_bpe_encode_decode": op7_bpe_encode_decode,
+    "op8_token_store": op8_token_store,
 }
 
 ORACLES: dict[str, str] = {}
