@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wardline.llm import bpe, token_store
+from wardline.llm import bpe, token_store, url_filter
 from wardline.llm.common import read
 from wardline.session import scratch_path
 
@@ -20,9 +20,85 @@ def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_store(spark, path, with_ids=False)
 
 
+# The rules of the result's definition.
+URL_RULES = [
+    ("block", "net", "/"),
+    ("allow", "example.net", "/en/"),
+    ("block", "example.com", "/de/"),
+    ("allow", "org", "/fr/"),
+]
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(read(spark, sf_dir, "pages"), URL_RULES)
+
+
 QUERIES = {
     "op7_bpe_encode_decode": op7_bpe_encode_decode,
     "op8_token_store": op8_token_store,
+    "op10_url_filter": op10_url_filter,
 }
 
-ORACLES: dict[str, str] = {}
+_LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _host(url: str) -> str:
+    return _LOWER.format(f"regexp_extract(coalesce({url}, ''), '^.*?://([^/?#]*)', 1, 's')")
+
+
+def _path(url: str) -> str:
+    return f"regexp_extract(coalesce({url}, ''), '^.*?://[^/?#]*([^?#]*)', 1, 's')"
+
+
+def _rule(host: str, path: str, of: int) -> str:
+    cases = []
+    for rule in sorted(URL_RULES, key=lambda r: -len(r[1] + r[2])):
+        text = (rule[0], rule[1] + rule[2])[of]
+        cases.append(
+            f"WHEN ({host} = '{rule[1]}' OR ends_with({host}, '.{rule[1]}')) AND starts_with({path}, '{rule[2]}') THEN '{text}'"
+        )
+    return f"CASE {' '.join(cases)} END"
+
+
+_URL_SQL = f"""
+WITH RECURSIVE found AS (
+  SELECT url, unnest([
+    regexp_extract(regexp_extract(html, '(?i)<link\\b[^>]*\\brel\\s*=\\s*["'']?canonical\\b[^>]*>', 0),
+      '(?i)\\bhref\\s*=\\s*["'']?([^"''\\s>]+)', 1),
+    regexp_extract(regexp_extract(html, '(?i)<meta\\b[^>]*\\bhttp-equiv\\s*=\\s*["'']?refresh\\b[^>]*>', 0),
+      '(?i)\\burl\\s*=\\s*["'']?([^"''\\s>]+)', 1)]) AS t
+  FROM pages WHERE url IS NOT NULL
+), target AS (
+  SELECT url, CASE
+    WHEN contains(t, '://') THEN t
+    WHEN starts_with(t, '//') THEN regexp_extract(url, '^(.*?)://', 1, 's') || ':' || t
+    WHEN starts_with(t, '/') THEN regexp_extract(url, '^(.*?://[^/?#]*)', 1, 's') || t
+    ELSE regexp_extract(url, '^(.*?://[^/?#]*)', 1, 's')
+      || regexp_extract('/' || ltrim({_path("url")}, '/'), '^(.*/)', 1, 's') || t END AS target
+  FROM found WHERE t <> ''
+), link AS (
+  SELECT DISTINCT {_host("url")} || regexp_extract(url, '^.*?://[^/?#]*([^#]*)', 1, 's') AS a,
+    {_host("target")} || regexp_extract(target, '^.*?://[^/?#]*([^#]*)', 1, 's') AS b
+  FROM target WHERE contains(url, '://') AND contains(target, '://')
+), side AS (SELECT a, b FROM link WHERE a <> b UNION SELECT b, a FROM link WHERE a <> b),
+reach AS (
+  SELECT a, b FROM side UNION SELECT r.a, s.b FROM reach r JOIN side s ON r.b = s.a
+), split AS (
+  SELECT a, b, regexp_extract(b, '^[^/?#]*', 0) AS h, regexp_extract(b, '^[^/?#]*([^?#]*)', 1, 's') AS p FROM reach
+), alias AS (
+  SELECT a, bool_or(v = 'block') AND NOT coalesce(bool_or(v = 'allow'), FALSE) AS blocked
+  FROM (SELECT a, {_rule("h", "p", 0)} AS v FROM split) GROUP BY a
+), judged AS (
+  SELECT page_id, host, path, {_rule("host", "path", 1)} AS rule, {_rule("host", "path", 0)} AS own, node
+  FROM (SELECT page_id, {_host("url")} AS host, {_path("url")} AS path,
+    CASE WHEN contains(url, '://') THEN {_host("url")} || regexp_extract(url, '^.*?://[^/?#]*([^#]*)', 1, 's') END AS node
+    FROM pages)
+)
+SELECT page_id, host, path, rule,
+  coalesce(own, CASE WHEN alias.blocked THEN 'block' END, 'allow') AS verdict
+FROM judged LEFT JOIN alias ON node = a
+"""
+
+ORACLES: dict[str, str] = {
+    "op10_url_filter": _URL_SQL,
+}
