@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wardline.llm import bpe, token_store, url_filter
+from wardline.llm import bpe, quality, token_store, url_filter
 from wardline.llm.common import read
 from wardline.session import scratch_path
 
@@ -20,6 +20,10 @@ def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_store(spark, path, with_ids=False)
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(read(spark, sf_dir, "documents"))
+
+
 # The rules of the result's definition.
 URL_RULES = [
     ("block", "net", "/"),
@@ -36,6 +40,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op7_bpe_encode_decode": op7_bpe_encode_decode,
     "op8_token_store": op8_token_store,
+    "op9_quality_rules": op9_quality_rules,
     "op10_url_filter": op10_url_filter,
 }
 
@@ -99,6 +104,39 @@ SELECT page_id, host, path, rule,
 FROM judged LEFT JOIN alias ON node = a
 """
 
+_QUALITY_SQL = f"""
+WITH doc AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce('host ' || source, 'null') AS host, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), line AS (
+  SELECT r, host, text, trim(regexp_replace(lower(l), '[\\x20\\x09-\\x0D]+', ' ', 'g')) AS line
+  FROM (SELECT r, host, text, unnest(string_split(text, chr(10))) AS l FROM doc)
+), frequent AS (
+  SELECT host, line FROM line WHERE line <> '' GROUP BY host, line HAVING count(DISTINCT text) > {quality.LINE_LIMIT}
+), gone AS (
+  SELECT r, sum(len(string_split(line, ' '))) AS words FROM line SEMI JOIN frequent USING (host, line) GROUP BY r
+), win AS (
+  SELECT r, i, list_slice(w, i, i + 4) AS g
+  FROM (SELECT r, w, unnest(generate_series(1, len(w) - 4)) AS i FROM doc WHERE len(w) >= 5)
+), again AS (
+  SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM win) WHERE n > 1
+), cover AS (
+  SELECT r, sum(least(5, coalesce(following - i, 5))) AS n
+  FROM (SELECT r, i, lead(i) OVER (PARTITION BY r ORDER BY i) AS following FROM again) GROUP BY r
+), filled AS (
+  SELECT doc.r, list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\\x20\\x09-\\x0D]')) AS ls FROM doc
+), counted AS (
+  SELECT doc_id, len(w)::BIGINT AS n_words, length(regexp_replace(text, '[\\x20\\x09-\\x0D]', '', 'g'))::BIGINT AS word_chars,
+    (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+    (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(cover.n, 0)::BIGINT AS n_repeat_words,
+    coalesce(gone.words, 0)::BIGINT AS n_boilerplate_words
+  FROM doc JOIN filled USING (r) LEFT JOIN cover USING (r) LEFT JOIN gone USING (r)
+)
+SELECT *, NOT base_failed AND 100 * (n_words - n_boilerplate_words) >= {quality.LEAST_LEFT_PERCENT} * n_words AS kept
+FROM (SELECT *, n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.MAX_REPEAT_PERCENT} * n_words AS base_failed FROM counted)
+"""
+
 ORACLES: dict[str, str] = {
+    "op9_quality_rules": _QUALITY_SQL,
     "op10_url_filter": _URL_SQL,
 }
