@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wardline.llm import bpe, quality, token_store, url_filter
+from wardline.llm import bpe, quality, secret_scan, token_store, url_filter
 from wardline.llm.common import read
 from wardline.session import scratch_path
 
@@ -20,6 +20,10 @@ def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_store(spark, path, with_ids=False)
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(read(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(read(spark, sf_dir, "documents"))
 
@@ -38,6 +42,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_secret_scan": op2_secret_scan,
     "op7_bpe_encode_decode": op7_bpe_encode_decode,
     "op8_token_store": op8_token_store,
     "op9_quality_rules": op9_quality_rules,
@@ -104,6 +109,58 @@ SELECT page_id, host, path, rule,
 FROM judged LEFT JOIN alias ON node = a
 """
 
+def _literal(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _spans_sql(rank: int, kind: str, pattern: str, group: int = 0, keep: str = "TRUE") -> str:
+    """Spans of one kind: what lies between matches, and the matches, one after the other."""
+    p = _literal(pattern)
+    return f"""
+  SELECT r, {rank} AS rank, '{kind}' AS kind, (sum(gap + n) OVER (PARTITION BY r ORDER BY i) - n)::BIGINT AS s,
+    (sum(gap + n) OVER (PARTITION BY r ORDER BY i))::BIGINT AS e, {keep} AS good
+  FROM (SELECT r, i, length(gaps[i]) AS gap, length(ms[i]) AS n, gs[i] AS g
+    FROM (SELECT r, gaps, ms, gs, unnest(generate_series(1, len(ms))) AS i
+      FROM (SELECT r, string_split_regex(text, {p}) AS gaps, regexp_extract_all(text, {p}, 0) AS ms,
+        regexp_extract_all(text, {p}, {group}) AS gs FROM doc WHERE regexp_matches(text, {p}))))"""
+
+
+_BASE_SQL = " UNION ALL ".join(
+    _spans_sql(i, k, p, g, f"length(g) >= {least}") for i, (k, p, g, least) in enumerate(secret_scan.BASE_KINDS)
+)
+_STRONG = "regexp_matches(g, '[0-9]') AND regexp_matches(g, '[a-z]') AND regexp_matches(g, '[A-Z]')"
+_WEAK_SQL = " UNION ALL ".join(
+    _spans_sql(len(secret_scan.BASE_KINDS) + i, k, p, 0, _STRONG if role == "secret" else "TRUE")
+    for i, (k, role, p) in enumerate(secret_scan.WEAK_KINDS)
+)
+_ROLE_SQL = " ".join(
+    f"WHEN '{k}' THEN '{r}'"
+    for k, r in (secret_scan.BASE_ROLES | {k: r for k, r, _ in secret_scan.WEAK_KINDS}).items()
+)
+_SECRET_SQL = f"""
+WITH doc AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+base AS (SELECT * FROM ({_BASE_SQL}) WHERE good),
+part AS (SELECT * FROM base UNION ALL SELECT * FROM ({_WEAK_SQL}) WHERE good),
+outer_part AS (
+  SELECT *, CASE kind {_ROLE_SQL} END AS role
+  FROM (SELECT *, max(e) OVER (PARTITION BY r ORDER BY s, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM part)
+  WHERE rank < {len(secret_scan.BASE_KINDS)} OR before IS NULL OR s >= before
+), extra AS (
+  SELECT r, rank, kind, s, e FROM outer_part a WHERE rank >= {len(secret_scan.BASE_KINDS)} AND EXISTS (
+    SELECT 1 FROM outer_part b WHERE a.r = b.r AND a.role <> b.role AND abs(a.s - b.s) <= {secret_scan.REACH})
+), of_base AS (
+  SELECT r, string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank) AS t, count(*) FILTER (WHERE kind = 'assign') AS n_assign,
+    count(*) FILTER (WHERE kind = 'access') AS n_access, count(*) FILTER (WHERE kind = 'hex') AS n_hex FROM base GROUP BY r
+), of_all AS (
+  SELECT r, string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank) AS t, count(*) FILTER (WHERE rank >= {len(secret_scan.BASE_KINDS)}) AS n_linked
+  FROM (SELECT r, rank, kind, s, e FROM base UNION ALL SELECT * FROM extra) GROUP BY r
+)
+SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access,
+  coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(b.t, '')) AS base_sha256, coalesce(a.t, '') AS spans,
+  coalesce(n_linked, 0)::BIGINT AS n_linked
+FROM doc LEFT JOIN of_base b USING (r) LEFT JOIN of_all a USING (r)
+"""
+
 _QUALITY_SQL = f"""
 WITH doc AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce('host ' || source, 'null') AS host, coalesce(text, '') AS text,
@@ -137,6 +194,7 @@ FROM (SELECT *, n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality
 """
 
 ORACLES: dict[str, str] = {
+    "op2_secret_scan": _SECRET_SQL,
     "op9_quality_rules": _QUALITY_SQL,
     "op10_url_filter": _URL_SQL,
 }

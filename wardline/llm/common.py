@@ -34,6 +34,11 @@ def in_third(column: str, divisor: int, remainder: int) -> Column:
     return F.coalesce(F.crc32(F.col(column).cast("string")) % divisor == remainder, F.lit(False))
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, not at each of its mentions within array functions."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def map_batches(
     df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | dict], schema: str
 ) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.common import WORD_GAP, WORD_SEPARATORS, store
+from wardline.llm.common import WORD_GAP, WORD_SEPARATORS, let, store
 from wardline.llm.skew import semi_join
 
 SYMBOLS = "#*$%&|<>"  # fixed value
@@ -53,15 +53,10 @@ def repeated_words(words: Column, window: int = REPEAT_WINDOW) -> Column:
 
     def count(h: Column) -> Column:
         pairs = F.array_sort(F.transform(h, lambda x, j: F.struct(x.alias("h"), j.alias("i"))))
-        places = _let(pairs, lambda s: F.array_sort(F.transform(with_neighbour(s), lambda x: x["i"])))
-        return F.when(F.size(F.array_distinct(h)) == F.size(h), 0).otherwise(_let(places, covered))
+        places = let(pairs, lambda s: F.array_sort(F.transform(with_neighbour(s), lambda x: x["i"])))
+        return F.when(F.size(F.array_distinct(h)) == F.size(h), 0).otherwise(let(places, covered))
 
-    return F.when(F.size(words) < window, 0).otherwise(_let(words, lambda w: _let(hashes(w), count)))
-
-
-def _let(value: Column, use) -> Column:
-    """``use`` of a value that is computed once, not at each of its mentions."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
+    return F.when(F.size(words) < window, 0).otherwise(let(words, lambda w: let(hashes(w), count)))
 
 
 def base_columns(text: Column) -> dict[str, Column]:
@@ -73,7 +68,7 @@ def base_columns(text: Column) -> dict[str, Column]:
         "_words": words_of(text),
         "word_chars": F.length(dense).cast("long"),
         "n_symbols": (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long"),
-        "n_dup_lines": _let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"),
+        "n_dup_lines": let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"),
     }
 
 
