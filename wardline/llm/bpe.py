@@ -19,7 +19,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from wardline.llm.common import column, map_batches, texts
+from wardline.llm.common import column, in_groups, map_batches, texts
 
 # Fixed value: the pre-tokenizer's pattern, white space spelt out as Unicode's White_Space.
 _SPACE = r"\t-\r\x20\x85\xa0  -     　"
@@ -277,23 +277,6 @@ def coder(definition: str) -> ByteBpe:
     return _coders[key]
 
 
-# Texts that are split at once, in characters: bounds the lists of pieces.
-_GROUP = 2_000_000
-
-
-def in_groups(batch: list[str], most: int = _GROUP):
-    """Consecutive runs of texts of about ``most`` characters."""
-    run, size = [], 0
-    for t in batch:
-        run.append(t)
-        size += len(t)
-        if size >= most:
-            yield run
-            run, size = [], 0
-    if run:
-        yield run
-
-
 def encode_decode(docs: DataFrame, tokenizer_path: str, keep: bool = False) -> DataFrame:
     """doc_id, ids (packed unsigned 32-bit), the decoded text and digests of both, a row for each row.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wardline.llm import bpe, quality, secret_scan, token_store, url_filter
+from wardline.llm import bpe, decontaminate, quality, secret_scan, token_store, url_filter
 from wardline.llm.common import read
 from wardline.session import scratch_path
 
@@ -24,6 +24,10 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(read(spark, sf_dir, "documents"))
 
 
+def op4_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(read(spark, sf_dir, "documents"))
 
@@ -43,6 +47,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_secret_scan": op2_secret_scan,
+    "op4_benchmark_leaks": op4_benchmark_leaks,
     "op7_bpe_encode_decode": op7_bpe_encode_decode,
     "op8_token_store": op8_token_store,
     "op9_quality_rules": op9_quality_rules,

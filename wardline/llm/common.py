@@ -55,3 +55,20 @@ def map_batches(
 
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
+
+
+# Texts that are split at once, in characters: bounds the lists of pieces.
+GROUP_CHARS = 2_000_000
+
+
+def in_groups(batch: list[str], most: int = GROUP_CHARS):
+    """Consecutive runs of texts of about ``most`` characters."""
+    run, size = [], 0
+    for t in batch:
+        run.append(t)
+        size += len(t)
+        if size >= most:
+            yield run
+            run, size = [], 0
+    if run:
+        yield run
