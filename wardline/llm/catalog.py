@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wardline.llm import bpe, decontaminate, quality, secret_scan, token_store, url_filter
-from wardline.llm.common import read
+from wardline.llm import bpe, decontaminate, language_id, quality, secret_scan, token_store, url_filter
+from wardline.llm.common import hash_remainder, read
 from wardline.session import scratch_path
 
 
@@ -28,6 +28,14 @@ def op4_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    held_out = hash_remainder("doc_id", 4, 2)
+    model = language_id.fit(docs.where(~held_out))
+    found = language_id.identify(docs, model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(read(spark, sf_dir, "documents"))
 
@@ -48,6 +56,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_secret_scan": op2_secret_scan,
     "op4_benchmark_leaks": op4_benchmark_leaks,
+    "op6_language_id": op6_language_id,
     "op7_bpe_encode_decode": op7_bpe_encode_decode,
     "op8_token_store": op8_token_store,
     "op9_quality_rules": op9_quality_rules,

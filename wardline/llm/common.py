@@ -29,7 +29,7 @@ def store(df: DataFrame, label: str) -> DataFrame:
     return materialize(df, f"llm-{label}")
 
 
-def in_third(column: str, divisor: int, remainder: int) -> Column:
+def hash_remainder(column: str, divisor: int, remainder: int) -> Column:
     """Whether crc32 of the id as text leaves this remainder; null ids leave none."""
     return F.coalesce(F.crc32(F.col(column).cast("string")) % divisor == remainder, F.lit(False))
 

@@ -9,6 +9,7 @@ each hit the whole item is compared, one machine word of bits for each column of
 from __future__ import annotations
 
 import re
+import uuid
 from collections import defaultdict
 
 import numpy as np
@@ -189,9 +190,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, least
     def passed(block: int) -> DataFrame:
         some = items.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block)
         found = spark.sparkContext.broadcast([(r.item_id, r.text) for r in some.collect()])
+        number = uuid.uuid4().hex
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            own = _prepared(found, rate, least_words)
+            own = _prepared(number, found.value, rate, least_words)
             ids, out, at = column(batch, "doc_id").to_pylist(), [], 0
             for group in in_groups(column(batch, "text").to_pylist()):
                 for d, item_id, distance, first, last in own.search(group):
@@ -217,16 +219,15 @@ def _as_lower(text: str) -> str:
     return low if len(low) == len(text) else "".join(x if len(x := c.lower()) == 1 else c for c in text)
 
 
-_ready: dict[int, Benchmark] = {}
+_ready: dict[str, Benchmark] = {}
 
 
-def _prepared(found, rate: float, least_words: int) -> Benchmark:
-    """The block's patterns, built once in each worker; of earlier blocks none is kept."""
-    key = hash((found.id if hasattr(found, "id") else 0, rate, least_words, len(found.value), hash(tuple(found.value))))
-    if key not in _ready:
+def _prepared(number: str, items: list[tuple[int, str]], rate: float, least_words: int) -> Benchmark:
+    """The block's patterns, built once in each worker; of other blocks none is kept."""
+    if number not in _ready:
         _ready.clear()
-        _ready[key] = Benchmark(found.value, rate, least_words)
-    return _ready[key]
+        _ready[number] = Benchmark(items, rate, least_words)
+    return _ready[number]
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE) -> DataFrame:

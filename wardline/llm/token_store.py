@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wardline.llm.common import column, map_batches, texts
+from wardline.llm.common import column, in_groups, map_batches, texts
 from wardline.session import partitions_for
 
 SHARD_IDS = 8 * 1024 * 1024
@@ -216,7 +216,8 @@ def write_store(docs: DataFrame, tokenizer_path: str, path: str, end_id: int = 1
         shard, size, ids, null, encoded = 0, 0, [], [], []
         for batch in batches:
             names = column(batch, "doc_id").to_pylist()
-            for name, packed in zip(names, own.encode(column(batch, "text").to_pylist())):
+            coded = (p for group in in_groups(column(batch, "text").to_pylist()) for p in own.encode(group))
+            for name, packed in zip(names, coded):
                 ids.append(0 if name is None else name)
                 null.append(name is None)
                 encoded.append(packed + end)
