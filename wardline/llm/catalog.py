@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from wardline.llm import bpe, decontaminate, language_id, quality, secret_scan, token_store, url_filter
+from wardline.llm import bpe, decontaminate, language_id, quality, secret_scan, token_store, toxicity, url_filter
 from wardline.llm.common import hash_remainder, read
 from wardline.session import scratch_path
 
@@ -20,6 +21,19 @@ def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_store(spark, path, with_ids=False)
 
 
+TOXIC_FROM = 0.7
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    held_out = hash_remainder("doc_id", 3, 1)
+    classifier = toxicity.fit(docs, labels.where(~held_out))
+    scored = toxicity.score(docs, classifier)
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score", F.when(F.col("score") >= TOXIC_FROM, 1).otherwise(0).alias("predicted")
+    )
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(read(spark, sf_dir, "documents"))
 
@@ -54,6 +68,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_secret_scan": op2_secret_scan,
     "op4_benchmark_leaks": op4_benchmark_leaks,
     "op6_language_id": op6_language_id,
