@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm import bpe, decontaminate, language_id, quality, secret_scan, token_store, toxicity, url_filter
+from wardline.llm import bpe, decontaminate, language_id, quality, secret_scan, substring_dedup, token_store, toxicity, url_filter
 from wardline.llm.common import hash_remainder, read
 from wardline.session import scratch_path
 
@@ -38,6 +38,10 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(read(spark, sf_dir, "documents"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup_digests(read(spark, sf_dir, "documents"))
+
+
 def op4_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -70,6 +74,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_secret_scan": op2_secret_scan,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_benchmark_leaks": op4_benchmark_leaks,
     "op6_language_id": op6_language_id,
     "op7_bpe_encode_decode": op7_bpe_encode_decode,
