@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm import bpe, decontaminate, language_id, quality, secret_scan, substring_dedup, token_store, toxicity, url_filter
+from wardline.llm import bpe, decontaminate, language_id, ngram_join, quality, secret_scan, substring_dedup, token_store, toxicity, url_filter
 from wardline.llm.common import hash_remainder, read
 from wardline.session import scratch_path
 
@@ -46,6 +46,10 @@ def op4_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.classes(read(spark, sf_dir, "documents"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     held_out = hash_remainder("doc_id", 4, 2)
@@ -76,6 +80,7 @@ QUERIES = {
     "op2_secret_scan": op2_secret_scan,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_benchmark_leaks": op4_benchmark_leaks,
+    "op5_ngram_join": op5_ngram_join,
     "op6_language_id": op6_language_id,
     "op7_bpe_encode_decode": op7_bpe_encode_decode,
     "op8_token_store": op8_token_store,

@@ -18,7 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardline.llm.common import column, in_groups, map_batches, store, texts
-from wardline.session import measured_bytes
+from wardline.llm.substring_dedup import text_key
+from wardline.session import lookup_side, measured_bytes
 
 ERROR_RATE = 0.2
 # Items of fewer words say too little to call a match a leak.
@@ -231,9 +232,11 @@ def _prepared(number: str, items: list[tuple[int, str]], rate: float, least_word
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE) -> DataFrame:
-    """``docs`` without the documents that hold a benchmark passage; documents with null id stay.
+    """``docs`` without the rows whose text holds a benchmark passage; all columns stay.
 
-    The ids of leaking documents are stored and joined by their key, with a row for each.
+    Rows are told by a key of their text, so null and repeated ids do no harm. The keys found are stored, and
+    broadcast only if they measure small.
     """
-    hit = store(leaks(docs, benchmark, rate).select("doc_id").distinct(), "leaks")
-    return docs.join(hit, "doc_id", "left_anti").select(*docs.columns)
+    key = F.concat_ws(":", *text_key(F.coalesce("text", F.lit(""))))
+    hit = leaks(docs.select(key.alias("doc_id"), "text"), benchmark, rate).select(F.col("doc_id").alias("_hit")).distinct()
+    return docs.join(lookup_side(store(hit, "leaks")), key == F.col("_hit"), "left_anti")
