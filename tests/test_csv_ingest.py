@@ -80,8 +80,24 @@ def test_lost_rows_are_noticed(spark, fresh_dir):
     assert not status["ok"] and status["note"] == "2 rows lost"
 
 
-def test_lines_of_another_length_are_counted(spark, fresh_dir):
-    path = write_gz(fresh_dir, "ragged", "a,b\n1,x\n2\n3,y,z\n")
+def test_lines_with_too_many_fields_are_rejected_whole(spark, fresh_dir):
+    path = write_gz(fresh_dir, "ragged", 'a,b\n1,x\n2\n3,y,z\n4,v,\n5,"q,r"\n')
     status = csv_ingest.convert_csv(spark, path, f"{fresh_dir}/out")
-    assert status["rows_out"] == 3 and status["note"].startswith("2 lines")
-    assert rows(spark.read.parquet(f"{fresh_dir}/out")) == [(1, "x"), (2, None), (3, "y")]
+    assert (status["rows_in"], status["rows_out"], status["ok"]) == (5, 3, False)
+    assert status["note"] == (
+        "1 lines with fewer fields than the header; 2 lines with more fields than the header rejected"
+    )
+    assert rows(spark.read.parquet(f"{fresh_dir}/out")) == [(1, "x"), (2, None), (5, "q,r")]
+    assert rows(spark.read.parquet(f"{fresh_dir}/out_rejects")) == [("3,y,z",), ("4,v,",)]
+    assert csv_ingest.convert_csv(spark, path, f"{fresh_dir}/out", allow_ragged=True)["ok"]
+
+
+def test_columns_go_by_each_files_header(spark, fresh_dir):
+    os.mkdir(f"{fresh_dir}/in")
+    write_gz(f"{fresh_dir}/in", "one", "x,y\n1,aa\n")
+    write_gz(f"{fresh_dir}/in", "two", "y,x\nbb,2\n")
+    write_gz(f"{fresh_dir}/in", "three", "x\n3\n")
+    status = csv_ingest.convert_csv(spark, f"{fresh_dir}/in", f"{fresh_dir}/out")
+    assert status["ok"] and rows(spark.read.parquet(f"{fresh_dir}/out"), "x", "y") == [
+        (1, "aa"), (2, "bb"), (3, None),
+    ]

@@ -11,18 +11,19 @@ import logging
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardline.functions.parsing import text_integer, text_number, tokens_to_null
 from wardline.schemas import CSV_NULL_TOKENS, TEXT_NULL_TOKENS
-from wardline.session import materialize
+from wardline.session import materialize, scratch_scope
 
 log = logging.getLogger(__name__)
 
 NUMERIC_SHARE = 0.7
 _RAGGED = "_ragged"
+_LONG = "_long"
 
 STATUS = T.StructType(
     [
@@ -35,23 +36,50 @@ STATUS = T.StructType(
 )
 
 
-def read_csv_text(spark: SparkSession, path: str, ragged: str | None = None) -> DataFrame:
+def read_csv_text(
+    spark: SparkSession, path: str, ragged: str | None = None, multi_line: bool = True
+) -> DataFrame:
     """Header CSV, plain or gzip, every column as text, null tokens still in place.
 
-    ``ragged`` names an extra column that holds the whole line where it has
-    more or fewer fields than the header, and null elsewhere.
+    Columns go by the names in each file's own header: files of one header are
+    read together, and a column that a file lacks is null in its rows. Reading
+    the headers costs a small read of each file. ``ragged`` names an extra
+    column that holds the whole line where it has more or fewer fields than the
+    header, and null elsewhere. Without ``multi_line`` a quoted field may not
+    hold a line break, and plain files are split over tasks.
     """
     reader = (
         spark.read.option("header", True)
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("escape", '"')
         .option("encoding", "UTF-8")
         .option("inferSchema", False)
     )
-    if ragged is None:
-        return reader.csv(path)
-    header = T.StructType([T.StructField(c, T.StringType()) for c in [*reader.csv(path).columns, ragged]])
-    return reader.schema(header).option("columnNameOfCorruptRecord", ragged).csv(path)
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for file in sorted(spark.read.text(path).inputFiles()):
+        by_header.setdefault(tuple(reader.csv(file).columns), []).append(file)
+    out = None
+    for header, files in by_header.items():
+        names = [*header, *([ragged] if ragged else [])]
+        part = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in names]))
+        if ragged:
+            part = part.option("columnNameOfCorruptRecord", ragged)
+        rows = part.csv(files)
+        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
+    return reader.csv(path) if out is None else out
+
+
+def has_more_fields(line: str, columns: int) -> Column:
+    """Whether a ragged line has more than so many fields; empty fields count.
+
+    A mark put behind the line as one more field is then beyond the next column.
+    """
+    mark = "\x02"
+    schema = ", ".join(f"c{i} string" for i in range(columns + 1))
+    marked = F.concat(F.col(line), F.lit("," + mark))
+    fields = F.from_csv(marked, schema, {"escape": '"', "multiLine": "true"})
+    found = [F.coalesce(fields[f"c{i}"] == mark, F.lit(False)) for i in range(columns + 1)]
+    return ~F.greatest(F.lit(False), *found)
 
 
 def normalize_nulls(
@@ -115,33 +143,51 @@ def convert_csv(
     target: str,
     table: str | None = None,
     keep_string: tuple[str, ...] = (),
+    allow_ragged: bool = False,
+    multi_line: bool = True,
 ) -> Row:
-    """Convert one CSV table to snappy Parquet and check that no row was lost.
+    """Convert one CSV table to snappy Parquet and check that no row and no field was lost.
 
-    Returns ``(table, rows_in, rows_out, ok, note)``. Short lines are filled up
-    with nulls. A line with more fields than the header cannot be kept whole,
-    so lines of another length are counted in ``note``.
+    Returns ``(table, rows_in, rows_out, ok, note)``. Lines with fewer fields
+    than the header are filled up with nulls and counted in ``note``. Lines with
+    more fields cannot be kept whole: they go, as they are, to the table
+    ``target`` + ``_rejects``, and the conversion fails unless ``allow_ragged``.
     """
-    unpacked = Observation()
-    raw = read_csv_text(spark, source, _RAGGED).observe(
-        unpacked, F.count(F.lit(1)).alias("rows"), F.count(_RAGGED).alias("ragged")
+    with scratch_scope(spark):
+        raw = read_csv_text(spark, source, _RAGGED, multi_line)
+        width = len(raw.columns) - 1
+        unpacked = materialize(raw.withColumn(_LONG, _too_long(raw, width)), "csv")
+        seen = unpacked.agg(
+            F.count(F.lit(1)).alias("rows"), F.count(_RAGGED).alias("ragged"), F.count_if(_LONG).alias("long")
+        ).first()
+        unpacked.filter(_LONG).select(F.col(_RAGGED).alias("line")).write.mode("overwrite").parquet(
+            f"{target}_rejects"
+        )
+        text = normalize_nulls(unpacked.filter(~F.col(_LONG)).drop(_RAGGED, _LONG))
+        typed = apply_types(text, infer_types(text, keep_string))
+        typed.write.option("compression", "snappy").mode("overwrite").parquet(target)
+    return verify_copy(
+        spark, seen["rows"], target, table or source, seen["ragged"] - seen["long"], seen["long"], allow_ragged
     )
-    text = normalize_nulls(materialize(raw, "csv").drop(_RAGGED))
-    typed = apply_types(text, infer_types(text, keep_string))
-    typed.write.option("compression", "snappy").mode("overwrite").parquet(target)
-    seen = unpacked.get
-    return verify_copy(spark, seen["rows"], target, table or source, seen["ragged"])
+
+
+def _too_long(raw: DataFrame, width: int) -> Column:
+    long = F.col(_RAGGED).isNotNull() & has_more_fields(_RAGGED, width)
+    return F.coalesce(long, F.lit(False))
 
 
 def verify_copy(
-    spark: SparkSession, rows_in: int, target: str, table: str, ragged: int = 0
+    spark: SparkSession, rows_in: int, target: str, table: str, short: int = 0, rejected: int = 0, allow_ragged: bool = False
 ) -> Row:
-    """Compare the rows that went in with those that can be read back."""
+    """Compare the rows that went in with those that can be read back or were rejected."""
     rows_out = spark.read.parquet(target).count()
-    ok = rows_in == rows_out
-    notes = [] if ok else [f"{rows_in - rows_out} rows lost"]
-    if ragged:
-        notes.append(f"{ragged} lines with more or fewer fields than the header")
+    lost = rows_in - rows_out - rejected
+    notes = [f"{lost} rows lost"] if lost else []
+    if short:
+        notes.append(f"{short} lines with fewer fields than the header")
+    if rejected:
+        notes.append(f"{rejected} lines with more fields than the header rejected")
+    ok = not lost and (allow_ragged or not rejected)
     log.info("%s: %d rows in, %d rows out", table, rows_in, rows_out)
     return Row(table=table, rows_in=rows_in, rows_out=rows_out, ok=ok, note="; ".join(notes))
 
