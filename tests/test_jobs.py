@@ -58,14 +58,13 @@ def test_recommendations(spark, base):
     ]
 
 
-@pytest.mark.parametrize("limit", [1 << 26, 0])
-def test_replay_then_load(spark, base, limit):
+def test_replay_then_load(spark, base):
     config = StreamConfig(base_path=base)
     ticks = replay.clock(
         spark, fmt="rate-micro-batch", options={"rowsPerBatch": 45, "numPartitions": 2, "startTimestamp": 0}
     )
     writer = jobs.replay_job(
-        spark, config, f"{base}/cp1", ticks=ticks, fmt="text", path=f"{base}/topic", broadcast_limit=limit
+        spark, config, f"{base}/cp1", ticks=ticks, fmt="text", path=f"{base}/topic"
     )
     ingest.finish(writer.trigger(availableNow=True).start(), TIMEOUT)
     sent = [json.loads(r[0]) for r in spark.read.text(f"{base}/topic").select("value").collect()]
@@ -73,7 +72,7 @@ def test_replay_then_load(spark, base, limit):
 
     loader = jobs.load_job(
         spark, config, f"{base}/cp2", ingest.parquet_sink(f"{base}/table"), ingest.parquet_sink(f"{base}/rejects"),
-        "text", f"{base}/topic" if limit else f"{base}/topic/*", {"availableNow": True},
+        "text", f"{base}/topic/*", {"availableNow": True},
     )
     ingest.finish(loader.start(), TIMEOUT)
     table = spark.read.parquet(f"{base}/table")

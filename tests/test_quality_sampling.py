@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from helpers import plan, rows
 
@@ -5,7 +7,7 @@ from wardline import session
 from wardline.operators import quality, sampling
 from wardline.session import (
     input_bytes, lookup_side, materialize, measured_bytes, partitions_for, release_scratch, scratch_root,
-    size_shuffles,
+    scratch_scope, sized_shuffles,
 )
 from wardline.sources.tables import select_existing, spread_by_stay
 
@@ -32,7 +34,7 @@ def test_empty_frames_are_refused(spark):
 def test_orphans(spark):
     child = spark.createDataFrame([(1,), (1,), (2,), (None,)], "k int")
     parent = spark.createDataFrame([(1,), (1,), (3,)], "p int")
-    assert rows(quality.orphan_report(child, parent, "k", "p", "r")) == [("r", 3, 1, 1)]
+    assert rows(quality.orphan_report(child, parent, "k", "p", "r")) == [("r", 4, 1, 1)]
 
 
 def test_duplicates_keep_the_first(spark):
@@ -71,15 +73,26 @@ def test_shuffle_partitions_follow_the_input(spark):
     frame = spark.range(10_000)
     unknown = spark.createDataFrame([(1,)], "a int")
     assert partitions_for(frame, target_bytes=1_000) == 80
-    assert partitions_for(frame, target_bytes=1_000, most=30) == 30
+    assert partitions_for(frame, target_bytes=1) == 80_000
     assert partitions_for(unknown) == 1
     assert input_bytes(frame.join(frame.withColumnRenamed("id", "other"))) == 2 * input_bytes(frame)
-    try:
-        assert size_shuffles(spark, frame) == int(before)
-        assert size_shuffles(spark, frame, target_bytes=1_000) == 80
-        assert size_shuffles(spark, unknown) == 80
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+    with sized_shuffles(spark, frame) as count:
+        assert count == int(before)
+    with sized_shuffles(spark, frame, target_bytes=1_000) as count:
+        assert count == 80 == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_partitions_have_no_upper_bound(spark, monkeypatch):
+    monkeypatch.setattr(session, "input_bytes", lambda df: 100 * 2**40)
+    assert partitions_for(spark.range(1)) == 409_600
+
+
+def test_scratch_scope_deletes_what_it_wrote(spark):
+    kept = materialize(spark.range(3), "kept")
+    with scratch_scope(spark):
+        gone = materialize(spark.range(3), "gone").inputFiles()
+    assert kept.count() == 3 and not os.path.exists(gone[0].removeprefix("file://"))
 
 
 def test_spread_and_select(spark):

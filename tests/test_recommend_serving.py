@@ -2,6 +2,8 @@ from datetime import datetime
 
 from helpers import plan, rows
 
+from pyspark.sql import functions as F
+
 from wardline import schemas as S
 from wardline.config import StreamConfig
 from wardline.operators import recommend, serving
@@ -34,6 +36,24 @@ def test_ranking_and_summary(spark):
     titles = spark.createDataFrame([("x", "Title X")], "icd_code string, title string")
     assert rows(recommend.with_titles(best, titles), "icd_code", "title")[-1] == ("y", None)
     assert "WindowGroupLimit" in plan(best)
+    doubled = titles.unionByName(titles.withColumn("title", F.concat(F.lit("z "), "title")))
+    assert rows(recommend.with_titles(best, doubled)) == rows(recommend.with_titles(best, titles))
+
+
+def test_codes_are_told_apart_by_version(spark):
+    diagnoses = spark.createDataFrame([(1, "x", 9), (1, "x", 10)], "hadm_id int, icd_code string, icd_version int")
+    drugs = spark.createDataFrame([(1, "d")], "hadm_id int, drug string")
+    titles = spark.createDataFrame([("x", 9, "nine"), ("x", 10, "ten")], "icd_code string, icd_version int, title string")
+    best = recommend.recommendations(recommend.co_occurrence(diagnoses, drugs))
+    assert rows(recommend.with_titles(best, titles), "icd_version", "title", "pair_count") == [(10, "ten", 1), (9, "nine", 1)]
+
+
+def test_equal_times_and_offsets_follow_the_partition(spark):
+    sent = spark.createDataFrame(
+        [(1, 1, 5, "220045", 60.0), (1, 0, 5, "220045", 90.0), (1, 0, 9, "220045", 70.0)],
+        "message_time int, partition int, offset int, itemid string, value double",
+    ).withColumn("time", F.col("message_time"))
+    assert rows(serving.latest_values(sent), "value") == rows(serving.panel_values(sent), "value") == [(60.0,)]
 
 
 def test_tops(spark):

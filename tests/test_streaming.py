@@ -121,6 +121,20 @@ def test_slice_reads_only_its_range(spark):
     assert replay.replay_slice(ticks.limit(0), history, 1_000).isEmpty()
 
 
+def test_stored_history_has_disjoint_ranges(spark, monkeypatch):
+    monkeypatch.setattr(replay, "HISTORY_FILE_BYTES", 1_000)
+    history = replay.store_history(spark.range(10_000).withColumnRenamed("id", "seq").repartition(7))
+    ends = history.groupBy(F.input_file_name()).agg(F.min("seq"), F.max("seq")).collect()
+    ranges = sorted((low, high) for _, low, high in ends)
+    assert len(ranges) > 4 and all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
+
+
+def test_ids_that_became_doubles_replay_without_rejects(spark):
+    events = history_rows(spark).withColumn("itemid", F.col("itemid").cast("double"))
+    sent = decode(replay.encode(replay.replay_history(events)))
+    assert sent.count() > 0 and sent.filter("reject_reason IS NOT NULL OR vital_name IS NULL").isEmpty()
+
+
 def test_large_history_stream(spark, fresh_dir):
     history = replay.store_history(replay.replay_history(history_rows(spark)))
 
@@ -202,4 +216,4 @@ def test_endless_stream_is_stopped(spark, fresh_dir):
 
 def test_echo_names_the_place(spark):
     frame = spark.createDataFrame([("{}", "t", 3, 7)], "value string, topic string, partition int, offset long")
-    assert rows(echo_lines(frame)) == [("[t p3 @offset 7] {}",)]
+    assert rows(echo_lines(frame)) == [("t/3/7", "{}")]

@@ -55,6 +55,13 @@ def tokens_to_null(column: str, tokens: Iterable[str]) -> Column:
     return F.when(~text.isin(list(tokens)), text)
 
 
+def id_text(column: str, data_type: T.DataType) -> Column:
+    """An id as text. Ids that became doubles, as one of them was null, lose the ``.0`` again."""
+    if isinstance(data_type, (T.DoubleType, T.FloatType, T.DecimalType)):
+        return F.col(column).try_cast("bigint").cast("string")
+    return F.col(column).cast("string")
+
+
 def ids_for(data_type: T.DataType, ids: Iterable) -> list:
     """Item ids as literals of the column's own type.
 

@@ -71,12 +71,14 @@ def drug_count_columns(terms: list[str]) -> list[str]:
 
 
 def drug_counts(drugs: DataFrame, terms: list[str]) -> DataFrame:
-    """Per stay, one count column per vocabulary term, in one aggregation."""
+    """Per stay with a vocabulary drug, one count column per term, in one aggregation over these drugs' rows."""
+    if not terms:
+        raise ValueError("the vocabulary is empty: no drug reached the least number of stays")
     wanted = [
         F.sum(F.when(F.col("drug") == term, F.col("n_rx")).otherwise(0)).alias(name)
         for term, name in zip(terms, drug_count_columns(terms))
     ]
-    return drugs.groupBy("stay_id").agg(*wanted)
+    return drugs.filter(F.col("drug").isin(terms)).groupBy("stay_id").agg(*wanted)
 
 
 def feature_pipeline(terms: list[str]) -> Pipeline:
@@ -91,7 +93,8 @@ def feature_pipeline(terms: list[str]) -> Pipeline:
 
 def vectorize(features: DataFrame, drugs: DataFrame, terms: list[str]) -> DataFrame:
     """Features with both vectors; the per-term helper columns are dropped again."""
-    wide = features.join(drug_counts(drugs, terms), "stay_id")
+    counts = drug_counts(drugs, terms)
+    wide = features.join(counts, "stay_id", "left").fillna(0, drug_count_columns(terms))
     model = feature_pipeline(terms).fit(wide)
     return model.transform(wide).drop(*drug_count_columns(terms))
 

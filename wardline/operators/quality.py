@@ -63,20 +63,19 @@ def validate(df: DataFrame, name: str) -> int:
 def orphan_report(
     child: DataFrame, parent: DataFrame, child_key: str, parent_key: str, name: str
 ) -> DataFrame:
-    """How many child rows point to no parent row.
+    """How many child rows point to no parent row. Rows without a key count as child rows, not as orphans.
 
     Child rows are counted per key before the join, so a key that holds a large
     share of them travels as one row.
     """
     per_key = (
-        child.filter(F.col(child_key).isNotNull())
-        .groupBy(F.col(child_key).alias("_key"))
+        child.groupBy(F.col(child_key).alias("_key"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )
     known = parent.select(F.col(parent_key).alias("_key")).groupBy("_key").agg(
         F.count(F.lit(1)).alias("_known")
     )
-    lost = F.col("_known").isNull()
+    lost = F.col("_known").isNull() & F.col("_key").isNotNull()
     return (
         per_key.join(known, "_key", "left")
         .agg(

@@ -9,11 +9,20 @@ from pyspark.sql.window import Window
 from wardline.session import lookup_side
 
 
+# A code means something only within its version, where the tables say which it is.
+CODE_KEY = ("icd_code", "icd_version")
+
+
+def code_key(*frames: DataFrame) -> list[str]:
+    """The columns that make up a diagnosis code, as far as all frames have them."""
+    return [c for c in CODE_KEY if all(c in f.columns for f in frames)]
+
+
 def admission_codes(diagnoses: DataFrame) -> DataFrame:
     """Per admission and code, how often the code was recorded."""
     return (
         diagnoses.filter(F.col("icd_code").isNotNull())
-        .groupBy("hadm_id", "icd_code")
+        .groupBy("hadm_id", *code_key(diagnoses))
         .agg(F.count(F.lit(1)).alias("n_dx"))
     )
 
@@ -34,11 +43,12 @@ def co_occurrence(diagnoses: DataFrame, prescriptions: DataFrame) -> DataFrame:
     repeated codes and drugs of an admission never pair up row by row: an
     admission adds no more rows than distinct (code, drug) results.
     """
+    code = ", ".join(f"d.{c}" for c in code_key(diagnoses))
     return diagnoses.sparkSession.sql(
-        """
-        SELECT d.icd_code, m.drug, SUM(d.n_dx * m.n_rx) AS pair_count
-        FROM {codes} d JOIN {medications} m ON d.hadm_id = m.hadm_id
-        GROUP BY d.icd_code, m.drug
+        f"""
+        SELECT {code}, m.drug, SUM(d.n_dx * m.n_rx) AS pair_count
+        FROM {{codes}} d JOIN {{medications}} m ON d.hadm_id = m.hadm_id
+        GROUP BY {code}, m.drug
         """,
         codes=admission_codes(diagnoses),
         medications=admission_medications(prescriptions),
@@ -47,13 +57,18 @@ def co_occurrence(diagnoses: DataFrame, prescriptions: DataFrame) -> DataFrame:
 
 def recommendations(pairs: DataFrame, k: int = 5) -> DataFrame:
     """The ``k`` most frequent drugs per diagnosis, ranked by count, then name."""
-    best = Window.partitionBy("icd_code").orderBy(F.desc("pair_count"), "drug")
+    best = Window.partitionBy(*code_key(pairs)).orderBy(F.desc("pair_count"), "drug")
     return pairs.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
 
 
 def with_titles(coded: DataFrame, titles: DataFrame) -> DataFrame:
-    """Adds the title of each diagnosis code; unknown codes keep a null title."""
-    return coded.join(lookup_side(titles.select("icd_code", "title")), "icd_code", "left")
+    """Adds the title of each diagnosis code; unknown codes keep a null title.
+
+    A code with several titles takes the first by name, so no row is doubled.
+    """
+    key = code_key(coded, titles)
+    one = titles.groupBy(*key).agg(F.min("title").alias("title"))
+    return coded.join(lookup_side(one), key, "left")
 
 
 def top_diagnoses(diagnoses: DataFrame, prescriptions: DataFrame, k: int = 10) -> DataFrame:
@@ -66,9 +81,9 @@ def top_diagnoses(diagnoses: DataFrame, prescriptions: DataFrame, k: int = 10) -
     return (
         admission_codes(diagnoses)
         .join(per_admission, "hadm_id")
-        .groupBy("icd_code")
+        .groupBy(*code_key(diagnoses))
         .agg(F.sum(F.col("n_dx") * F.col("n_rx")).alias("prescriptions"))
-        .orderBy(F.desc("prescriptions"), "icd_code")
+        .orderBy(F.desc("prescriptions"), *code_key(diagnoses))
         .limit(k)
     )
 
@@ -87,6 +102,6 @@ def recommendation_summary(recommended: DataFrame) -> DataFrame:
     """Recommendations, distinct diagnoses and medications, medications per diagnosis."""
     return recommended.agg(
         F.count(F.lit(1)).alias("recommendations"),
-        F.count_distinct("icd_code").alias("diagnoses"),
+        F.count_distinct(F.struct(*code_key(recommended))).alias("diagnoses"),
         F.count_distinct("drug").alias("medications"),
     ).withColumn("avg_per_diagnosis", F.col("recommendations") / F.col("diagnoses"))

@@ -97,11 +97,19 @@ def patient_list(served: DataFrame) -> DataFrame:
     return served.select("subject_id").distinct().orderBy("subject_id")
 
 
+ARRIVAL = ("message_time", "partition", "offset")
+
+
+def arrival(messages: DataFrame, order_by: tuple[str, ...] = ARRIVAL) -> list[str]:
+    """The columns of the order of arrival that the messages have. Offsets count within a partition."""
+    return [c for c in order_by if c in messages.columns]
+
+
 def last_messages(
-    messages: DataFrame, order_by: tuple[str, ...] = ("message_time", "offset"), n: int = 100
+    messages: DataFrame, order_by: tuple[str, ...] = ARRIVAL, n: int = 100
 ) -> DataFrame:
     """The ``n`` messages that arrived last, newest first."""
-    return messages.orderBy(*[F.desc(c) for c in order_by]).limit(n)
+    return messages.orderBy(*[F.desc(c) for c in arrival(messages, order_by)]).limit(n)
 
 
 def item_series(
@@ -122,22 +130,22 @@ def waveform(messages: DataFrame, item: str = WAVEFORM_ITEM) -> DataFrame:
 def latest_values(
     messages: DataFrame,
     items: Iterable[str] = PANEL_ITEMS,
-    time: str = "message_time",
-    offset: str = "offset",
+    order_by: tuple[str, ...] = ARRIVAL,
     threshold: float = ALERT_THRESHOLD,
 ) -> DataFrame:
     """Last non-null value per item by arrival over all messages, with its alert colour.
 
     The newest arrival time per item comes first; it has one row per listed
-    item and is broadcast back. That keeps both steps in hash aggregation,
-    where ordering by (time, offset) at once would sort the whole input.
+    item and is broadcast back. That keeps the large step in hash aggregation,
+    where ordering by the whole arrival at once would sort the whole input.
     """
-    values = item_series(messages, items, (time, offset)).filter(F.col("value").isNotNull())
+    time, *rest = arrival(messages, order_by)
+    values = item_series(messages, items, (time, *rest)).filter(F.col("value").isNotNull())
     newest = values.groupBy("itemid").agg(F.max(time).alias(time))
     return (
         values.join(F.broadcast(newest), ["itemid", time])
         .groupBy("itemid")
-        .agg(F.max_by("value", offset).alias("value"))
+        .agg(F.max_by("value", F.struct(*rest)).alias("value"))
         .withColumn("colour", alert_colour(F.col("value"), threshold))
     )
 
@@ -146,16 +154,15 @@ def panel_values(
     messages: DataFrame,
     items: Iterable[str] = PANEL_ITEMS,
     n: int = 100,
-    time: str = "message_time",
-    offset: str = "offset",
+    order_by: tuple[str, ...] = ARRIVAL,
     threshold: float = ALERT_THRESHOLD,
 ) -> DataFrame:
     """Last non-null value per item among the ``n`` messages that arrived last."""
-    last = last_messages(messages, (time, offset), n)
+    order = arrival(messages, order_by)
     return (
-        item_series(last, items, (time, offset))
+        item_series(last_messages(messages, order, n), items, order)
         .filter(F.col("value").isNotNull())
         .groupBy("itemid")
-        .agg(F.max_by("value", F.struct(time, offset)).alias("value"))
+        .agg(F.max_by("value", F.struct(*order)).alias("value"))
         .withColumn("colour", alert_colour(F.col("value"), threshold))
     )

@@ -29,7 +29,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
-STREAM_TIMEOUT = 600
 
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:
@@ -357,7 +356,7 @@ _REPORT = """
         SELECT 'dataset' AS section, 'icu_stays' AS metric, stays AS value FROM n
         UNION ALL SELECT 'dataset', 'clinical_features', 10 FROM n
         UNION ALL SELECT 'dataset', 'drugs_in_model', terms FROM n
-        UNION ALL SELECT 'dataset', 'retention_pct', 100 FROM n
+        UNION ALL SELECT 'dataset', 'retention_pct', stays / (SELECT COUNT(*) FROM summary JOIN meds USING (stay_id)) * 100 FROM n
         UNION ALL SELECT 'multi_label', 'avg_drugs_per_stay', ROUND(avg_drugs, 6) FROM n
         UNION ALL SELECT 'multi_label', 'stays_with_2_types', multiple FROM n
         UNION ALL SELECT 'multi_label', 'stays_with_2_types_pct', ROUND(multiple / stays * 100, 6) FROM n
@@ -384,8 +383,9 @@ def _vocabulary_size(tables):
 @query(f"WITH {_FEATURES}, {_REPORT} SELECT * FROM report")
 def dataset_report(spark, sf):
     tables = _tables(spark, sf)
+    vectors = flows.vectors(tables)
     return report.dataset_report(
-        tables.features, tables.features, _vocabulary_size(tables)
+        tables.features, vectors, _vocabulary_size(tables)
     ).withColumn("value", F.round("value", 6))
 
 
@@ -713,13 +713,13 @@ def replay_stream(spark, sf):
     ticks = replay.clock(
         spark,
         fmt="rate-micro-batch",
-        options={"rowsPerBatch": length + length // 2, "numPartitions": 8, "startTimestamp": 0},
+        options={"rowsPerBatch": length + length // 2, "startTimestamp": 0},
     )
     messages = replay.replay_messages(ticks, history, length).select("value")
     writer = message_writer(
         messages, StreamConfig(), scratch_path(spark, "replay-checkpoint"), "text", out
     )
-    ingest.finish(writer.trigger(availableNow=True).start(), STREAM_TIMEOUT)
+    ingest.finish(writer.trigger(availableNow=True).start())
     return _message_rows(decode(spark.read.text(out)))
 
 
@@ -744,7 +744,7 @@ def stream_ingest(spark, sf):
         scratch_path(spark, "load-checkpoint"),
         {"availableNow": True},
     )
-    ingest.finish(loading.start(), STREAM_TIMEOUT)
+    ingest.finish(loading.start())
     return _message_rows(spark.read.parquet(table))
 
 

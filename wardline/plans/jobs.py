@@ -3,25 +3,22 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from wardline.config import StreamConfig
 from wardline.operators import features as ft
-from wardline.operators import meds, quality, recommend, report, vitals
+from wardline.operators import meds, quality, recommend, report, serving, vitals
 from wardline.plans import flows
 from wardline.schemas import VITAL_BANDS
-from wardline.session import BROADCAST_LIMIT_BYTES, measured_bytes, size_shuffles
+from wardline.session import sized_shuffles
 from wardline.sources.csv_ingest import ingest_tables, require_complete
-from wardline.sources.messages import message_writer, read_messages
+from wardline.functions.messages import decode
+from wardline.sources.messages import read_messages, read_topic
 from wardline.sources.tables import read_table, read_tables
 from wardline.streaming import ingest, replay
 
-# The tables of the feature job and their columns that must not be empty.
-KEY_COLUMNS = {
-    "chartevents": ["stay_id", "itemid", "valuenum"],
-    "prescriptions": ["subject_id", "hadm_id", "drug"],
-    "icustays": ["subject_id", "hadm_id", "stay_id"],
-}
+FEATURE_TABLES = ("chartevents", "prescriptions", "icustays")
 
 
 def ingest_job(
@@ -47,32 +44,50 @@ def feature_job(
     """Readings and prescriptions to stored features, vectors and report.
 
     Writes ``features`` (with both vectors), ``stay_drugs``, ``vocabulary``,
-    ``drug_statistics`` and ``report`` below ``out``. ``validate`` costs one
-    scan of each table's key columns.
+    ``drug_statistics`` and ``report`` below ``out``. ``validate`` counts the nulls
+    of every column of the tables and of the joined frames, a scan of each.
     """
-    tables = read_tables(spark, base, tuple(KEY_COLUMNS))
-    size_shuffles(spark, *tables.values())
-    if validate:
-        for name, columns in KEY_COLUMNS.items():
-            quality.validate(tables[name].select(*columns), name)
+    tables = read_tables(spark, base, FEATURE_TABLES)
+    with sized_shuffles(spark, *tables.values()):
+        return _feature_job(spark, tables, out, vocabulary_size, min_stays, validate)
+
+
+def _feature_job(
+    spark: SparkSession,
+    tables: dict[str, DataFrame],
+    out: str,
+    vocabulary_size: int,
+    min_stays: int,
+    validate: bool,
+) -> flows.FeatureTables:
+    def checked(df: DataFrame, name: str) -> DataFrame:
+        if validate:
+            quality.validate(df, name)
+        return df
+
+    for name, table in tables.items():
+        checked(table, name)
 
     def store(df: DataFrame, name: str) -> DataFrame:
         df.write.mode("overwrite").parquet(f"{out}/{name}")
         return spark.read.parquet(f"{out}/{name}")
 
-    drugs = store(meds.stay_drugs(tables["prescriptions"], tables["icustays"]), "stay_drugs")
+    drugs = checked(
+        store(meds.stay_drugs(tables["prescriptions"], tables["icustays"]), "stay_drugs"), "stay drugs"
+    )
     built = flows.FeatureTables(
-        store(flows.dataset(tables["chartevents"], drugs), "stay_features"), drugs
+        checked(store(flows.dataset(tables["chartevents"], drugs), "stay_features"), "stay features"), drugs
     )
     quality.require_rows(built.features, "feature table")
     listed = ft.medication_list(drugs, built.features)
     vocab = store(ft.vocabulary(listed, vocabulary_size, min_stays), "vocabulary")
     terms = ft.vocabulary_terms(vocab)
-    store(ft.vectorize(built.features, drugs, terms), "features")
+    vectors = store(ft.vectorize(built.features, drugs, terms), "features")
+    store(report.schema_report(vectors), "schema")
     store(meds.top_drugs(meds.drug_statistics(drugs)), "drug_statistics")
     store(
         report.analysis_report(
-            built.features, built.features, drugs, len(terms), min_stays=min_stays
+            built.features, vectors, drugs, len(terms), min_stays=min_stays
         ),
         "report",
     )
@@ -82,9 +97,10 @@ def feature_job(
 def signal_job(spark: SparkSession, base: str, out: str, row_id: str | None = None) -> DataFrame:
     """Stores the abnormal readings per stay as bounded lists."""
     charts = read_table(spark, base, "chartevents")
-    vitals.signal_segments(vitals.abnormal_charts(charts), row_id).write.mode(
-        "overwrite"
-    ).parquet(out)
+    with sized_shuffles(spark, charts):
+        vitals.signal_segments(vitals.abnormal_charts(charts), row_id).write.mode(
+            "overwrite"
+        ).parquet(out)
     return spark.read.parquet(out)
 
 
@@ -93,9 +109,9 @@ def recommendation_job(spark: SparkSession, base: str, out: str, k: int = 5) ->
     diagnoses = read_table(spark, base, "diagnoses_icd")
     prescriptions = read_table(spark, base, "prescriptions")
     titles = read_table(spark, base, "d_icd_diagnoses")
-    size_shuffles(spark, diagnoses, prescriptions)
-    best = recommend.recommendations(recommend.co_occurrence(diagnoses, prescriptions), k)
-    recommend.with_titles(best, titles).write.mode("overwrite").parquet(out)
+    with sized_shuffles(spark, diagnoses, prescriptions):
+        best = recommend.recommendations(recommend.co_occurrence(diagnoses, prescriptions), k)
+        recommend.with_titles(best, titles).write.mode("overwrite").parquet(out)
     return recommend.recommendation_summary(spark.read.parquet(out))
 
 
@@ -107,21 +123,16 @@ def replay_job(
     ticks: DataFrame | None = None,
     fmt: str = "kafka",
     path: str | None = None,
-    broadcast_limit: int = BROADCAST_LIMIT_BYTES,
 ) -> DataStreamWriter:
     """Replays the history of one patient, or of all, as messages.
 
-    A history within the limit is broadcast to each micro-batch. A larger one
-    stays on disk, and each micro-batch reads the part it replays.
+    The history stays on disk, whatever its size, and each micro-batch reads
+    the part it replays. A batch sent to files has a folder of its own.
     """
     charts = read_table(spark, config.tables, "chartevents")
     history = replay.store_history(replay.replay_history(charts, subject_id, VITAL_BANDS))
     length = history.count()
     ticks = replay.clock(spark, config.rows_per_second) if ticks is None else ticks
-    if measured_bytes(history) <= broadcast_limit:
-        return message_writer(
-            replay.replay_messages(ticks, history, length), config, checkpoint, fmt, path
-        )
     emit = replay.kafka_emit(config) if fmt == "kafka" else replay.file_emit(fmt, path)
     return replay.replay_writer(ticks, history, length, emit, checkpoint)
 
@@ -140,3 +151,22 @@ def load_job(
     return ingest.load_messages(
         read_messages(spark, config, fmt, path), sink, reject_sink, checkpoint, trigger
     )
+
+
+def panel_job(
+    spark: SparkSession,
+    config: StreamConfig,
+    fmt: str = "kafka",
+    path: str | None = None,
+    n: int = 100,
+) -> DataFrame:
+    """The panel's last values among the ``n`` sound messages of the topic that arrived last."""
+    decoded = decode(read_topic(spark, config, fmt, path)).filter("reject_reason IS NULL")
+    last = serving.last_messages(
+        decoded.select(
+            F.col("event_time").alias("time"), "message_time", "partition", "offset", "itemid",
+            F.col("valuenum").alias("value"),
+        ),
+        n=n,
+    )
+    return serving.panel_values(last, n=n)

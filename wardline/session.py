@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +14,6 @@ from pyspark.sql import types as T
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 
 TARGET_PARTITION_BYTES = 256 * 1024 * 1024
-MOST_PARTITIONS = 20_000
 # Rows the driver hands over carry a default estimate near the largest long.
 UNKNOWN_SIZE_BYTES = 1 << 62
 
@@ -26,13 +27,10 @@ def build_session(
     shuffle_partitions: int | None = None,
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
-    """A UTC session with adaptive execution; sizes stay the cluster's unless given."""
+    """A UTC session; sizes stay the cluster's unless given."""
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
     )
     if master is not None:
         builder = builder.master(master)
@@ -43,32 +41,30 @@ def build_session(
     return builder.getOrCreate()
 
 
-def partitions_for(
-    *inputs: DataFrame, target_bytes: int = TARGET_PARTITION_BYTES, most: int = MOST_PARTITIONS
-) -> int:
-    """Partitions of about ``target_bytes`` for these inputs; 1 where no size is known.
-
-    Beyond ``most``, block bookkeeping costs more than spilling does.
-    """
+def partitions_for(*inputs: DataFrame, target_bytes: int = TARGET_PARTITION_BYTES) -> int:
+    """Partitions of about ``target_bytes`` for these inputs; 1 where no size is known."""
     total = sum(input_bytes(df) for df in inputs)
-    return max(1, min(-(-total // target_bytes), most))
+    return max(1, -(-total // target_bytes))
 
 
-def size_shuffles(
-    spark: SparkSession,
-    *inputs: DataFrame,
-    target_bytes: int = TARGET_PARTITION_BYTES,
-    most: int = MOST_PARTITIONS,
-) -> int:
-    """Raise the shuffle partition count to what jobs over ``inputs`` need; returns it.
+@contextmanager
+def sized_shuffles(
+    spark: SparkSession, *inputs: DataFrame, target_bytes: int = TARGET_PARTITION_BYTES
+) -> Iterator[int]:
+    """Within the block, the shuffle partition count that jobs over ``inputs`` need, if it is the larger one.
 
     Adaptive execution merges partitions that turn out small but does not
-    split large ones, so a count set too low stays too low. It is never lowered.
+    split large ones, so a count set too low stays too low. Afterwards the
+    session has its own count again; frames have to be stored inside the block.
     """
-    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    count = max(current, partitions_for(*inputs, target_bytes=target_bytes, most=most))
-    spark.conf.set("spark.sql.shuffle.partitions", str(count))
-    return count
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    count = max(int(before), partitions_for(*inputs, target_bytes=target_bytes))
+    spark.conf.set(name, str(count))
+    try:
+        yield count
+    finally:
+        spark.conf.set(name, before)
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -106,17 +102,30 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release_scratch(spark: SparkSession) -> int:
-    """Delete the scratch tables this process wrote; call when results are stored."""
+def release_scratch(spark: SparkSession, since: int = 0) -> int:
+    """Delete the scratch tables this process wrote; call when results are stored.
+
+    ``since`` keeps the first so many of them.
+    """
     jvm = spark._jvm
     conf = spark._jsc.hadoopConfiguration()
     released = 0
-    while _written:
+    while len(_written) > since:
         path = jvm.org.apache.hadoop.fs.Path(_written.pop())
         released += bool(path.getFileSystem(conf).delete(path, True))
     return released
 
 
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Scratch tables written within the block are deleted at its end; results have to be stored by then."""
+    since = len(_written)
+    try:
+        yield
+    finally:
+        release_scratch(spark, since)
+
+
 def input_bytes(df: DataFrame) -> int:
     """Size of what ``df`` reads, by the optimizer's figures for its scans.
 

@@ -9,14 +9,34 @@ from pyspark.sql.streaming import DataStreamWriter
 from wardline.config import StreamConfig
 
 
+def _placed(raw: DataFrame, config: StreamConfig, fmt: str) -> DataFrame:
+    if fmt == "kafka":
+        return raw.select(
+            F.col("value").cast("string").alias("value"),
+            "topic", "partition", "offset", F.col("timestamp").alias("message_time"),
+        )
+    return raw.select(
+        "value",
+        F.lit(config.kafka_topic).alias("topic"),
+        F.lit(0).alias("partition"),
+        F.lit(None).cast("long").alias("offset"),
+        F.col("_metadata.file_modification_time").alias("message_time"),
+    )
+
+
 def read_messages(
     spark: SparkSession,
     config: StreamConfig,
     fmt: str = "kafka",
     path: str | None = None,
     options: dict[str, str] | None = None,
+    most_per_batch: int | None = None,
 ) -> DataFrame:
-    """Stream of ``value`` with the topic, partition and offset it came from."""
+    """Stream of ``value`` with its topic, partition, offset and time of arrival.
+
+    ``most_per_batch`` bounds a micro-batch, in messages of a topic or else in files;
+    the rest follows in later ones.
+    """
     reader = spark.readStream.format(fmt)
     if fmt == "kafka":
         reader = (
@@ -25,17 +45,26 @@ def read_messages(
             .option("groupIdPrefix", config.kafka_group)
             .option("startingOffsets", config.kafka_offset_reset)
         )
-    raw = reader.options(**(options or {})).load(path)
+    if most_per_batch is not None:
+        bound = "maxOffsetsPerTrigger" if fmt == "kafka" else "maxFilesPerTrigger"
+        reader = reader.option(bound, str(most_per_batch))
+    return _placed(reader.options(**(options or {})).load(path), config, fmt)
+
+
+def read_topic(
+    spark: SparkSession,
+    config: StreamConfig,
+    fmt: str = "kafka",
+    path: str | None = None,
+    options: dict[str, str] | None = None,
+) -> DataFrame:
+    """What a topic holds now, in the columns of ``read_messages``."""
+    reader = spark.read.format(fmt)
     if fmt == "kafka":
-        return raw.select(
-            F.col("value").cast("string").alias("value"), "topic", "partition", "offset"
+        reader = reader.option("kafka.bootstrap.servers", config.kafka_bootstrap).option(
+            "subscribe", config.kafka_topic
         )
-    return raw.select(
-        "value",
-        F.lit(config.kafka_topic).alias("topic"),
-        F.lit(0).alias("partition"),
-        F.lit(None).cast("long").alias("offset"),
-    )
+    return _placed(reader.options(**(options or {})).load(path), config, fmt)
 
 
 def message_writer(
@@ -63,15 +92,12 @@ def message_writer(
 
 
 def echo_lines(messages: DataFrame) -> DataFrame:
-    """One readable line per consumed message: topic, partition, offset, text."""
-    place = F.format_string(
-        "[%s p%s @offset %s] %s",
-        "topic",
-        F.col("partition").cast("string"),
-        F.coalesce(F.col("offset").cast("string"), F.lit("-")),
-        "value",
+    """``source`` (topic/partition/offset) and ``text`` of each consumed message."""
+    offset = F.coalesce(F.col("offset").cast("string"), F.lit("?"))
+    return messages.select(
+        F.concat_ws("/", "topic", F.col("partition").cast("string"), offset).alias("source"),
+        F.col("value").alias("text"),
     )
-    return messages.select(place.alias("line"))
 
 
 def echo_writer(messages: DataFrame, checkpoint: str) -> DataStreamWriter:

@@ -10,11 +10,11 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from wardline.config import StreamConfig
 from wardline.functions.messages import encode
-from wardline.functions.parsing import as_time, event_time, ids_for
+from wardline.functions.parsing import as_time, event_time, id_text, ids_for
 from wardline.operators.ordering import dense_sequence
 from wardline.operators.quality import require_rows
 from wardline.schemas import VITAL_BANDS, Band
-from wardline.session import lookup_side, materialize
+from wardline.session import lookup_side, materialize, partitions_for
 from wardline.sources.tables import select_existing, vital_map
 
 # Columns an event carries, as far as the history has them.
@@ -24,6 +24,10 @@ EVENT_COLUMNS = [
 ]
 
 
+# Events of a micro-batch are a range of the history, so its files are small.
+HISTORY_FILE_BYTES = 32 * 1024 * 1024
+
+
 def with_event_time(charts: DataFrame) -> DataFrame:
     """Parsed times and ``event_time``; readings without any time are dropped."""
     chart, store = as_time("charttime"), as_time("storetime")
@@ -35,7 +39,8 @@ def with_event_time(charts: DataFrame) -> DataFrame:
 def name_vitals(events: DataFrame, bands: tuple[Band, ...] = VITAL_BANDS) -> DataFrame:
     """Adds ``itemid_str`` and ``vital_name``. The map has one row per band."""
     names = vital_map(events.sparkSession, bands).withColumnRenamed("itemid", "itemid_str")
-    return events.withColumn("itemid_str", F.col("itemid").cast("string")).join(
+    text = id_text("itemid", events.schema["itemid"].dataType)
+    return events.withColumn("itemid_str", text).join(
         F.broadcast(names), "itemid_str", "left"
     )
 
@@ -106,8 +111,9 @@ def replay_messages(ticks: DataFrame, history: DataFrame, length: int | None = N
 
 
 def store_history(history: DataFrame) -> DataFrame:
-    """The numbered history as a scratch table whose files cover narrow ``seq`` ranges."""
-    return materialize(history, "history")
+    """The numbered history as a scratch table whose files cover narrow ``seq`` ranges that do not overlap."""
+    parts = partitions_for(history, target_bytes=HISTORY_FILE_BYTES)
+    return materialize(history.repartitionByRange(parts, "seq").sortWithinPartitions("seq"), "history")
 
 
 def replay_slice(ticks: DataFrame, history: DataFrame, length: int) -> DataFrame:
