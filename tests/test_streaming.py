@@ -1,14 +1,14 @@
 import json
 
 import pytest
-from helpers import chart_row, charts, plan, rows
+from helpers import chart_row, charts, global_sequence, plan, rows
 from pyspark.sql import functions as F
 
 from wardline import schemas as S
 from wardline.config import StreamConfig
 from wardline.functions.messages import decode, encode
 from wardline.operators import ordering
-from wardline.operators.ordering import dense_sequence, global_sequence
+from wardline.operators.ordering import dense_sequence
 from wardline.sources.messages import echo_lines, message_writer, read_messages
 from wardline.streaming import ingest, replay
 
@@ -199,6 +199,14 @@ def test_loader_keeps_going_and_repeats_safely(spark, fresh_dir):
     assert rows(stored, "subject_id") == [("1",), ("2",), ("3",)]
     assert stored.filter("created_at IS NULL").isEmpty()
     assert rows(stored.filter("timestamp IS NULL"), "subject_id") == [("3",)]
+    days = ingest.day_sink(f"{fresh_dir}/days")
+    for batch_id in (0, 1, 0):
+        days(stored.filter(F.col("subject_id") == str(batch_id + 1)), batch_id)
+    by_day = spark.read.parquet(f"{fresh_dir}/days")
+    assert rows(by_day, "subject_id", "event_date") == rows(stored.filter("event_time IS NOT NULL").selectExpr("subject_id", "DATE(event_time)"))
+    assert "PartitionFilters: [isnotnull(event_date" in plan(by_day.filter("event_date >= DATE'2150-01-01'"))
+    ingest.compact_days(spark, f"{fresh_dir}/days", f"{fresh_dir}/compact")
+    assert rows(spark.read.parquet(f"{fresh_dir}/compact"), "subject_id") == [("1",), ("2",)]
     rejects = spark.read.parquet(f"{fresh_dir}/rejects")
     assert rejects.count() == 5 and rejects.first()["topic"] == StreamConfig().kafka_topic
 

@@ -12,14 +12,8 @@ from wardline.session import materialize, partitions_for
 _ROW_BITS = 33
 
 
-def global_sequence(df: DataFrame, order_by: list[str], name: str = "seq") -> DataFrame:
-    """Zero-based row number over one window. All rows pass one task: small inputs only."""
-    window = Window.partitionBy(F.lit(1)).orderBy(*order_by)
-    return df.withColumn(name, F.row_number().over(window).cast("long") - 1)
-
-
 def dense_sequence(df: DataFrame, order_by: list[str], name: str = "seq") -> DataFrame:
-    """The same numbers as :func:`global_sequence`, without gathering the rows.
+    """Zero-based row numbers over the whole table, without gathering its rows.
 
     Rows are range-partitioned and sorted, so a row's number is its place in
     its partition plus the rows of all earlier partitions. The placed rows are

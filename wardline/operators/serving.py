@@ -73,7 +73,7 @@ def between(
 
 def vital_trend(
     served: DataFrame,
-    subject_id: str | None = None,
+    subject_id: str | Column | None = None,
     span: str = "24 hours",
     as_of: datetime | Column | None = None,
 ) -> DataFrame:

@@ -748,6 +748,37 @@ def stream_ingest(spark, sf):
     return _message_rows(spark.read.parquet(table))
 
 
+@query(
+    """
+    WITH ms AS (SELECT CAST(user_id AS VARCHAR) AS subject_id, epoch_us(ts) // 1000 AS time_ms, value, event_type FROM events),
+    busiest AS (SELECT subject_id FROM ms GROUP BY subject_id ORDER BY COUNT(*) DESC, subject_id LIMIT 1)
+    SELECT subject_id, time_ms, value,
+           CASE event_type WHEN 'click' THEN 'Heart Rate (bpm)' WHEN 'view' THEN 'Systolic BP (mmHg)'
+                           WHEN 'signup' THEN 'Respiratory Rate (bpm)' ELSE 'SpO2 (%)' END AS metric
+    FROM ms
+    WHERE event_type IN ('click', 'view', 'signup', 'error') AND subject_id IN (SELECT subject_id FROM busiest)
+      AND time_ms >= (SELECT MAX(time_ms) FROM ms) - 24 * 3600 * 1000"""
+)
+def loaded_trend_one_patient(spark, sf):
+    """Trend of the patient with most readings, over a table loaded from a topic in daily folders."""
+    topic, table = scratch_path(spark, "topic"), scratch_path(spark, "served-by-day")
+    events = replay.name_vitals(replay.with_event_time(stand_in.coded_charts(spark, sf)))
+    encode(events).select("value").write.text(topic)
+    loading = ingest.load_messages(
+        read_messages(spark, StreamConfig(), "text", topic, most_per_batch=64),
+        ingest.day_sink(table),
+        ingest.parquet_sink(scratch_path(spark, "rejects")),
+        scratch_path(spark, "load-checkpoint"),
+        {"availableNow": True},
+    )
+    ingest.finish(loading.start())
+    served = spark.read.parquet(table)
+    counts = served.groupBy("subject_id").agg(F.count("*").alias("n"))
+    busiest = counts.orderBy(F.desc("n"), "subject_id").limit(1).select("subject_id").scalar()
+    trend = serving.vital_trend(served, busiest, as_of=serving.newest_time(served))
+    return trend.withColumn("time_ms", F.unix_millis("time")).drop("time")
+
+
 _CSV_TABLES = ("nation", "supplier", "customer")
 
 

@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from wardline.config import StreamConfig
 from wardline.functions.messages import decode
+from wardline.operators.serving import store_served
 from wardline.schemas import SERVING
 
 Sink = Callable[[DataFrame, int], None]
@@ -44,6 +45,30 @@ def parquet_sink(path: str) -> Sink:
     return write
 
 
+def day_sink(path: str) -> Sink:
+    """Folders by day, so that trailing windows read only their days, and by micro-batch within a day.
+
+    A repeated batch has the same rows, so it replaces its own folders in each day.
+    """
+
+    def write(rows: DataFrame, batch_id: int) -> None:
+        (
+            rows.withColumns({"event_date": F.to_date("event_time"), "batch_id": F.lit(batch_id)})
+            .sortWithinPartitions("event_date", "subject_id", "event_time")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("event_date", "batch_id")
+            .parquet(path)
+        )
+
+    return write
+
+
+def compact_days(spark: SparkSession, path: str, target: str) -> None:
+    """The loaded table again, with few files a day, clustered by patient and time."""
+    store_served(spark.read.parquet(path).drop("batch_id", "event_date"), target, "overwrite")
+
+
 def jdbc_sink(config: StreamConfig, page_rows: int = PAGE_ROWS) -> Sink:
     """Appends to the database table, ``page_rows`` per statement batch.
 
