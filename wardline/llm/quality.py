@@ -83,26 +83,24 @@ def _host(docs: DataFrame) -> Column:
 
 
 def line_rows(docs: DataFrame) -> DataFrame:
-    """host, text (a hash), line (a hash) and words: a row for each distinct line with a word of each row.
-
-    ``words`` counts the words of all occurrences of the line in the text.
-    """
+    """host, text (a hash), place, line (a hash) and words: a row for each line with a word of each row."""
     lines = F.split(F.coalesce("text", F.lit("")), "\n", -1)
     rows = docs.select(
         _host(docs).alias("host"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text"),
-        F.explode(F.filter(F.transform(lines, normal_line), lambda x: x != "")).alias("line"),
-    )
-    return rows.select("host", "text", F.xxhash64("line").alias("line"), F.size(F.split("line", " ")).alias("words"))
+        F.posexplode(F.transform(lines, normal_line)).alias("place", "line"),
+    ).where("line <> ''")
+    return rows.select("host", "text", "place", F.xxhash64("line").alias("line"), F.size(F.split("line", " ")).alias("words"))
 
 
 def frequent_lines(docs: DataFrame, line_limit: int = LINE_LIMIT) -> tuple[DataFrame, DataFrame]:
-    """(host, line, n, rows) of lines in more than ``line_limit`` distinct texts of a host, and the lines of each text.
+    """(host, line, n) of lines in more than ``line_limit`` distinct texts of a host, and the lines of each text.
 
-    Exact copies of a text count once. A line common to a third of all documents is counted on the map
-    side first, so it costs a row for each task.
+    Exact copies of a text count once: their lines meet in their places, on the map side first. A line common
+    to a third of all documents is counted on the map side too, so it costs a row for each task. ``words`` of
+    a text's line is that of all places where it stands.
     """
-    lines = line_rows(docs).groupBy("host", "text", "line").agg(F.sum("words").alias("words"), F.count("*").alias("n"))
-    lines = store(lines, "text-lines")
+    once = line_rows(docs).groupBy("host", "text", "line", "place").agg(F.max("words").alias("words"))
+    lines = store(once.groupBy("host", "text", "line").agg(F.sum("words").alias("words")), "text-lines")
     counts = lines.groupBy("host", "line").agg(F.count("*").alias("n"))
     return store(counts.where(F.col("n") > line_limit), "frequent-lines"), lines
 
