@@ -19,6 +19,7 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +32,10 @@ from wardline.session import partitions_for
 
 SHARD_IDS = 8 * 1024 * 1024
 PARTITION_BYTES = 24 * 1024 * 1024
-REMEMBERED_WORDS = 300_000
+REMEMBERED_WORDS = 200_000
+REMEMBERED_STEMS = 300_000
 ENCODED_AT_ONCE = 4_096
+ROWS_AT_ONCE = 1_000
 
 _MIX = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB], np.uint64)
 
@@ -156,30 +159,55 @@ class WordEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.kind = {2: "H", 4: "I"}[width]
+        self.width = width
         self.words: dict[str, bytes] = {}
+        self.old_words: dict[str, bytes] = {}
         self.stems: dict[str, bytes] = {}
+        self.old_stems: dict[str, bytes] = {}
 
     def parts(self, word: str) -> tuple[str, str]:
         """What is encoded by itself: the word in lower case if it is ASCII, and the marks behind its last letter."""
-        stem = word.rstrip(self.MARKS)
-        if stem != word and not (stem and stem[-1] < "\u0250" and stem[-1].isalpha() and stem[-1] != "İ"):
-            stem = word
-        marks = word[len(stem) :]
+        stem, marks = word, ""
+        if word[-1:] in self.MARKS:
+            stem = word.rstrip(self.MARKS)
+            if stem and stem[-1] < "\u0250" and stem[-1].isalpha() and stem[-1] != "İ":
+                marks = word[len(stem) :]
+            else:
+                stem = word
         return (stem.lower() if stem.isascii() else stem), marks
 
+    def _learn(self, stems: list[str]) -> None:
+        """Encode stems into ``stems``."""
+        for at in range(0, len(stems), ENCODED_AT_ONCE):
+            some = stems[at : at + ENCODED_AT_ONCE]
+            ids = [e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+            packed, begin = array(self.kind, chain.from_iterable(ids)).tobytes(), 0
+            for stem, own in zip(some, ids):
+                end = begin + self.width * len(own)
+                self.stems[stem] = packed[begin:end]
+                begin = end
+
     def encode(self, batch: list[str]) -> list[bytes]:
+        """Ids of each text, packed. Memories have two generations, so words in use outlive a new beginning."""
         if len(self.words) > REMEMBERED_WORDS:
-            self.words = {}
-        if len(self.stems) > REMEMBERED_WORDS:
-            self.stems = {}
-        words, stems = self.words, self.stems
+            self.old_words, self.words = self.words, {}
+        if len(self.stems) > REMEMBERED_STEMS:
+            self.old_stems, self.stems = self.stems, {}
+        words, stems, old_words, old_stems = self.words, self.stems, self.old_words, self.old_stems
         split = [self.GAP.split(t) if self.NO_GAPS(t) else t.split() for t in batch]
-        new = {w: self.parts(w) for w in set().union(*split).difference(words)}
-        missing = list({p for parts in new.values() for p in parts if p not in stems})
-        for at in range(0, len(missing), ENCODED_AT_ONCE):
-            some = missing[at : at + ENCODED_AT_ONCE]
-            for w, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                stems[w] = array(self.kind, e.ids).tobytes()
+        new = {}
+        for w in set().union(*split).difference(words):
+            if (known := old_words.get(w)) is not None:
+                words[w] = known
+            else:
+                new[w] = self.parts(w)
+        missing = []
+        for p in {p for parts in new.values() for p in parts}.difference(stems):
+            if (known := old_stems.get(p)) is not None:
+                stems[p] = known
+            else:
+                missing.append(p)
+        self._learn(missing)
         for w, (stem, marks) in new.items():
             words[w] = stems[stem] + stems[marks]
         get = words.__getitem__
@@ -238,7 +266,8 @@ def write_store(docs: DataFrame, tokenizer_path: str, path: str, end_id: int = 1
         shard, size, ids, null, encoded = 0, 0, [], [], []
         for batch in batches:
             names = column(batch, "doc_id").to_pylist()
-            coded = (p for group in in_groups(column(batch, "text").to_pylist()) for p in own.encode(group))
+            parts = (column(batch, "text").slice(k, ROWS_AT_ONCE).to_pylist() for k in range(0, len(names), ROWS_AT_ONCE))
+            coded = (p for some in parts for group in in_groups(some) for p in own.encode(group))
             for name, packed in zip(names, coded):
                 ids.append(0 if name is None else name)
                 null.append(name is None)
