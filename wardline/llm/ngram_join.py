@@ -26,7 +26,7 @@ from wardline.llm.common import column, in_groups, store, texts
 from wardline.llm.components import components
 from wardline.llm.skew import semi_join
 from wardline.llm.substring_dedup import _BASES, _mix, rolling, text_key
-from wardline.session import lookup_side
+from wardline.session import BROADCAST_LIMIT_BYTES, lookup_side
 
 SHINGLE = 5
 PERCENT = 80
@@ -177,14 +177,14 @@ def cells(n: int) -> int:
 
 
 def _index(sets: DataFrame) -> DataFrame:
-    """key, c, n: index entries of each set."""
+    """key, c, n, k: index entries of each set, its size, and how many of its tokens other sets have too."""
     tokens = sets.select(F.col("s1").alias("c"), "n", F.explode("tokens").alias("h"))
     df = store(tokens.groupBy("h").agg(F.count("*").alias("df")).where("df > 1"), "frequencies")
     common = tokens.join(df, "h").groupBy("c", "n").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("common"))
 
     def run(batches):
         for batch in batches:
-            keys, owners, sizes = [], [], []
+            keys, owners, sizes, shared = [], [], [], []
             for row in batch.to_pylist():
                 n, common = row["n"], row["common"]
                 unique = n - len(common)
@@ -209,15 +209,24 @@ def _index(sets: DataFrame) -> DataFrame:
                 keys += found
                 owners += [row["c"]] * len(found)
                 sizes += [n] * len(found)
-            yield pa.RecordBatch.from_pydict({"key": pa.array(keys, pa.int64()), "c": pa.array(owners, pa.int64()), "n": pa.array(sizes, pa.int64())})
+                shared += [len(common)] * len(found)
+            columns = {"key": keys, "c": owners, "n": sizes, "k": shared}
+            yield pa.RecordBatch.from_pydict({name: pa.array(v, pa.int64()) for name, v in columns.items()})
 
-    return common.mapInArrow(run, "key bigint, c bigint, n bigint")
+    return common.mapInArrow(run, "key bigint, c bigint, n bigint, k bigint")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """a, b of the pairs that reach the similarity. Each side's set joins in turn; the second is not shuffled on."""
+    """a, b of the pairs (a, pivot b) that reach the similarity.
+
+    Pivots are few: their sets are broadcast if they measure small, and then no row with a set of a pair is
+    shuffled; else they join by shuffle.
+    """
+    pivots = pairs.select(F.col("b").alias("s1")).distinct()
+    two = store(sets.join(pivots, "s1", "left_semi").select(F.col("s1").alias("b"), F.col("tokens").alias("y")), "pivot-sets")
+    width = two.agg(F.coalesce(F.sum(F.size("y")), F.lit(0))).first()[0] * 8
+    two = F.broadcast(two) if width <= BROADCAST_LIMIT_BYTES else two
     one = sets.select(F.col("s1").alias("a"), F.col("tokens").alias("x"))
-    two = sets.select(F.col("s1").alias("b"), F.col("tokens").alias("y"))
     both = pairs.join(one, "a").join(two, "b")
     both = both.select("a", "b", F.size("x").alias("n"), F.size("y").alias("m"), F.size(F.array_intersect("x", "y")).alias("k"))
     return both.where(100 * F.col("k") >= PERCENT * (F.col("n") + F.col("m") - F.col("k"))).select("a", "b")
@@ -231,24 +240,28 @@ def _linked_classes(sets: DataFrame) -> DataFrame:
     edges, pivots_per_key = None, FIRST_PIVOTS
     while True:
         placed = index.join(labels.withColumnRenamed("node", "c"), "c", "left")
-        placed = store(placed.select("key", "c", "n", F.coalesce("component", "c").alias("label")), "placed")
+        placed = store(placed.select("key", "c", "n", "k", F.coalesce("component", "c").alias("label")), "placed")
         counted = placed.groupBy("key").agg(F.count("*").alias("rows"), F.min("label").alias("low"), F.max("label").alias("high"))
         open_keys = store(counted.where("low <> high").select("key", "rows"), "open-keys")
         if open_keys.isEmpty():
             return labels
         placed = store(semi_join(placed, open_keys, ["key"], "rows"), "open-index")
         cell = F.pmod(F.xxhash64("c"), F.lit(pivots_per_key))
-        first = F.min(F.struct(F.xxhash64("c", F.lit(1)).alias("o"), F.col("c").alias("pivot"), F.col("n").alias("m"), F.col("label").alias("other")))
-        pivots = store(placed.groupBy("key", cell.alias("cell")).agg(first.alias("p")).select("key", "p.pivot", "p.m", "p.other"), "pivots")
-        smaller, larger = F.least("n", "m"), F.greatest("n", "m")
-        pairs = placed.join(pivots, "key").where((F.col("label") != F.col("other")) & (100 * smaller >= PERCENT * larger))
-        pairs = store(pairs.select(F.least("c", "pivot").alias("a"), F.greatest("c", "pivot").alias("b")).distinct(), "pairs")
+        # A set with few tokens of its own is in the middle of a group of near copies, and links most of them.
+        own = ((F.col("n") - F.col("k")) / F.col("n")).alias("own")
+        entry = F.struct(own, F.xxhash64("c").alias("o"), F.col("c").alias("pivot"), F.col("n").alias("m"), F.col("k").alias("l"), F.col("label").alias("other"))
+        pivots = store(placed.groupBy("key", cell.alias("cell")).agg(F.min(entry).alias("p")).select("key", "p.pivot", "p.m", "p.l", "p.other"), "pivots")
+        # Two sets share at most what either shares with anyone.
+        most = F.least("k", "l")
+        possible = 100 * most >= PERCENT * (F.col("n") + F.col("m") - most)
+        pairs = placed.join(pivots, "key").where((F.col("label") != F.col("other")) & possible)
+        pairs = store(pairs.select(F.col("c").alias("a"), F.col("pivot").alias("b")).distinct(), "pairs")
         links = store(_verified(pairs, sets), "links")
         edges = links if edges is None else edges.unionByName(links)
         labels = store(components(edges), "labels")
         # A pivot has met all of its key.
         done = pivots.select("key", F.col("pivot").alias("c"))
-        index = store(placed.select("key", "c", "n").join(done, ["key", "c"], "left_anti"), "index")
+        index = store(placed.select("key", "c", "n", "k").join(done, ["key", "c"], "left_anti"), "index")
         pivots_per_key *= 8
 
 
