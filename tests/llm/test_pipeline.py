@@ -8,7 +8,7 @@ from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from wardline.llm import decontaminate
+from wardline.llm import decontaminate, quality
 
 
 def test_stages_follow_each_other_and_equal_brute_force(spark, fresh_dir):
@@ -36,6 +36,33 @@ def test_stages_follow_each_other_and_equal_brute_force(spark, fresh_dir):
         assert out[i].decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
 
 
+def test_one_of_many_near_copies_stays(spark, fresh_dir):
+    """Near copies with edits in few lines, in groups well above and just above the line limit."""
+    draw = random.Random(5)
+    prose = lambda k: " ".join(f"w{draw.randrange(10**5)}" for _ in range(k))
+    notice = "all rights reserved by the owner of this page"
+    docs = [(i, prose(30) + "\n" + notice) for i in range(130)]
+    groups = []
+    for first, n, edits in ((1000, 150, 1), (2000, 150, 2), (3000, 106, 1)):
+        base = [prose(10) for _ in range(40)]
+        groups.append(first)
+        for i in range(n):
+            lines = list(base)
+            for at in draw.sample(range(40), edits):
+                lines[at] = lines[at].rsplit(" ", 1)[0] + f" e{i}"
+            docs.append((first + i, "\n".join([*lines, notice])))
+    # Nothing but the notice: taken out, so nothing is left.
+    docs += [(5000, notice + "\n" + notice.upper() + " ")]
+    frame = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in docs], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    cleaned = {r.doc_id: r for r in quality.clean(frame).collect()}
+    texts = dict(docs)
+    assert set(cleaned) == set(texts) - {5000}
+    assert all(r.text == texts[i].rsplit("\n", 1)[0] and r.n_chars == len(r.text) for i, r in cleaned.items())
+    frame.write.parquet(f"{fresh_dir}/documents.parquet")
+    spark.createDataFrame([(1, prose(30))], "item_id bigint, text string").write.parquet(f"{fresh_dir}/benchmark.parquet")
+    assert {r.doc_id for r in corpus_pipeline.run(spark, fresh_dir).collect()} == {*range(130), *groups}
+
+
 def test_stages_keep_the_columns_and_take_odd_rows(spark, odd_docs, no_docs, sf):
     for docs in (odd_docs, no_docs):
         columns = docs.columns

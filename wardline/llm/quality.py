@@ -144,12 +144,41 @@ def removals(docs: DataFrame, line_limit: int = LINE_LIMIT) -> tuple[DataFrame,
     return frequent, store(gone.agg(F.sum("words").alias("words"), F.collect_set("line").alias("lines")), "line-removals")
 
 
+def removals_of_unlike(docs: DataFrame, line_limit: int = LINE_LIMIT, least_left_percent: int = LEAST_LEFT_PERCENT) -> DataFrame:
+    """Like the second of ``removals``, but near copies do not make their lines boilerplate.
+
+    A text that would be depleted by lines in more than half of ``line_limit`` texts of its host is either a
+    near copy of others or boilerplate only. Such texts count for a line by the smallest and the largest of
+    their shared lines: near copies have these in common, but for a few whose edits lie there. All others count
+    one each, so a line goes if more than ``line_limit`` texts that are unlike each other hold it. No line goes
+    that ``removals`` would leave.
+    """
+    shared, lines = frequent_lines(docs, line_limit // 2)
+    held = store(semi_join(lines, shared, ["host", "line"], "n"), "shared-lines")
+    both = lines.select("host", "text", "words", F.lit(0).alias("shared"), F.lit(None).cast("long").alias("line")).unionByName(
+        held.select("host", "text", F.lit(0).alias("words"), F.col("words").alias("shared"), "line")
+    )
+    of_text = both.groupBy("host", "text").agg(
+        F.sum("words").alias("all"), F.sum("shared").alias("shared"), F.xxhash64(F.min("line"), F.max("line")).alias("like")
+    )
+    depleted = of_text.where(100 * (F.col("all") - F.col("shared")) < least_left_percent * F.col("all"))
+    depleted = store(depleted.select("host", "text", "like"), "depleted-texts")
+    unlike = held.join(depleted, ["host", "text"], "left").withColumn("like", F.coalesce("like", "text"))
+    counts = unlike.groupBy("host", "line", "like").agg(F.count("*").alias("n"))
+    counts = counts.groupBy("host", "line").agg(F.count("*").alias("unlike"), F.sum("n").alias("n"))
+    frequent = store(counts.where(F.col("unlike") > line_limit), "unlike-lines")
+    gone = semi_join(held, frequent, ["host", "line"], "n").groupBy("host", "text")
+    return store(gone.agg(F.sum("words").alias("words"), F.collect_set("line").alias("lines")), "line-removals")
+
+
 def clean(docs: DataFrame, line_limit: int = LINE_LIMIT, least_left_percent: int = LEAST_LEFT_PERCENT) -> DataFrame:
     """The kept rows of ``docs`` with all their columns, without the lines over the limit.
 
-    The text changes only where lines go; ``n_chars``, if there, follows it.
+    Lines are counted in texts that are unlike each other, so rows that ``judge`` rejects only for lines shared
+    with near copies stay whole: which of them stays is for deduplication to say. The text changes only where
+    lines go; ``n_chars``, if there, follows it.
     """
-    _, gone = removals(docs, line_limit)
+    gone = removals_of_unlike(docs, line_limit, least_left_percent)
     names = docs.columns
     text = F.coalesce("text", F.lit(""))
     base = docs.withColumn("_q_host", _host(docs)).withColumn("_q_text", F.xxhash64(text)).withColumn("_q_words", words_of(text))
