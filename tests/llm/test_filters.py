@@ -136,6 +136,29 @@ def test_weak_parts_are_reported_next_to_their_complement(spark, odd_docs, no_do
     assert "Python" not in plan(secret_scan.scan(odd_docs)) and "Arrow" not in plan(quality.judge(odd_docs))
 
 
+def test_long_parts_are_taken_whole(spark, fresh_dir):
+    draw = random.Random(8)
+    value = lambda k: "aB3" + "".join(draw.choice("ABCDefgh0123+/") for _ in range(k - 3))
+    long_id, host = "s" * 90, "h" * 250
+    texts, wanted = [], []
+    for secret in (value(86) + "==", value(43), value(43) + "=", value(33), value(700)):
+        texts.append(f"AccountName=storage7;AccountKey={secret};end")
+        wanted.append(("<identifier>;AccountKey=<value>;end", [("identifier", "AccountName=storage7"), ("value", secret)]))
+    secret = value(40)
+    texts += [f"user_id={long_id} {secret} end", f"https://{host} {secret} end"]
+    wanted += [("<identifier> <value> end", [("identifier", f"user_id={long_id}"), ("value", secret)])]
+    wanted += [("<endpoint> <value> end", [("endpoint", f"https://{host}"), ("value", secret)])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {r.doc_id: r.spans for r in secret_scan.scan(docs).collect()}
+    masked = {r.doc_id: r.text for r in secret_scan.mask(docs).collect()}
+    for i, (text, (left, parts)) in enumerate(zip(texts, wanted)):
+        assert masked[i] == left
+        assert found[i] == ",".join(f"{k}:{text.index(p)}:{text.index(p) + len(p)}" for k, p in parts)
+    connection = write(spark, fresh_dir, documents=docs)
+    view(connection, fresh_dir, "documents")
+    agrees(spark, connection, "op2_secret_scan", fresh_dir)
+
+
 def test_masks_replace_what_is_reported(spark, odd_docs):
     masked = {r.doc_id - 3000: r for r in secret_scan.mask(secret_docs(spark)).collect()}
     assert masked[1].text == "<access> and AKIASHORT then <hex>" and masked[1].n_chars == len(masked[1].text)

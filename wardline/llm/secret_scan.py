@@ -21,11 +21,12 @@ BASE_KINDS = [
     ("hex", r"[0-9a-f]{24,}", 0, 24),
 ]
 
-# Weak parts: (kind, role, pattern). A key identifier, a bare 40-character secret, and a service endpoint.
+# Weak parts: (kind, role, pattern). A key identifier, a bare secret of 32 characters or more, and a service endpoint.
+# None has a most length: the rest of a longer part would be left in the text.
 WEAK_KINDS = [
-    ("identifier", "id", r"(?i:client|account|access|tenant|key|user)_?(?i:id|name)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9._@-]{4,64}"),
-    ("value", "secret", r"(?:[A-Za-z0-9+/]{4}){8,16}={0,2}"),
-    ("endpoint", "endpoint", r"(?:https?|postgres|mysql|mongodb|redis|amqp)://[A-Za-z0-9._:@-]{4,200}"),
+    ("identifier", "id", r"(?i:client|account|access|tenant|key|user)_?(?i:id|name)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9._@-]{4,}"),
+    ("value", "secret", r"[A-Za-z0-9+/]{32,}={0,2}"),
+    ("endpoint", "endpoint", r"(?:https?|postgres|mysql|mongodb|redis|amqp)://[A-Za-z0-9._:@-]{4,}"),
 ]
 BASE_ROLES = {"assign": "secret", "access": "id", "hex": "secret"}
 
