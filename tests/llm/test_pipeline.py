@@ -74,5 +74,5 @@ def test_stages_keep_the_columns_and_take_odd_rows(spark, odd_docs, no_docs, sf)
 
 def test_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in entry.queries() if n.startswith("op"))
-    assert numbers == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert numbers == list(range(1, 14)) and "pipeline" in entry.queries()
     assert len(corpus_pipeline.STAGES) == 5

@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm import bpe, decontaminate, language_id, ngram_join, quality, secret_scan, substring_dedup, token_store, toxicity, url_filter
+from wardline.llm import bpe, decontaminate, divergence, html_text, language_id, merkle, ngram_join, quality, secret_scan
+from wardline.llm import substring_dedup, token_store, toxicity, url_filter
 from wardline.llm.common import hash_remainder, read
 from wardline.session import scratch_path
 
@@ -75,6 +76,21 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(read(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read(spark, sf_dir, "documents"))
+
+
+def op12_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(read(spark, sf_dir, "pages"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every second row, by its id, is folded in with the line breaks of its text deleted."""
+    even = hash_remainder("doc_id", 2, 0)
+    without_breaks = F.when(even, F.translate("text", "\n", "")).otherwise(F.col("text"))
+    return merkle.audit(read(spark, sf_dir, "documents"), without_breaks)
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_secret_scan": op2_secret_scan,
@@ -86,6 +102,9 @@ QUERIES = {
     "op8_token_store": op8_token_store,
     "op9_quality_rules": op9_quality_rules,
     "op10_url_filter": op10_url_filter,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_html_text": op12_html_text,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -232,8 +251,97 @@ SELECT *, NOT base_failed AND 100 * (n_words - n_boilerplate_words) >= {quality.
 FROM (SELECT *, n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.MAX_REPEAT_PERCENT} * n_words AS base_failed FROM counted)
 """
 
+def _price(count: str, total: str) -> str:
+    return f"(1 + (1000000000::HUGEINT * ({count} + {divergence.PRIOR})) // ({total} + {divergence.PRIOR} * v))"
+
+
+_TERM_SQL = "regexp_extract_all(" + _LOWER.format("text") + r", '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')"
+_DIVERGENCE_SQL = f"""
+WITH doc AS (
+  SELECT row_number() OVER () AS r, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents
+), occurs AS (
+  SELECT r, lang, source, unnest({_TERM_SQL}) AS term FROM doc
+), kept AS (
+  SELECT lang, term FROM occurs GROUP BY lang, term HAVING count(DISTINCT r) >= {divergence.LEAST_DOCS}
+), found AS (
+  SELECT lang, source, term, count(*)::HUGEINT AS c FROM occurs SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term
+), size AS (SELECT lang, count(*)::HUGEINT AS v FROM kept GROUP BY lang),
+side AS (
+  SELECT lang, source, coalesce(any_value(v), 0) AS v, coalesce(sum(c), 0)::HUGEINT AS n
+  FROM (SELECT DISTINCT lang, source FROM doc) LEFT JOIN size USING (lang) LEFT JOIN found USING (lang, source) GROUP BY lang, source
+), priced AS (
+  SELECT lang, source, term, coalesce(c, 0) AS c, {_price("coalesce(c, 0)", "n")} AS p
+  FROM kept JOIN side USING (lang) LEFT JOIN found USING (lang, source, term)
+), whole AS (
+  SELECT lang, term, {_price("c", "n")} AS q
+  FROM (SELECT lang, term, sum(c)::HUGEINT AS c FROM found GROUP BY lang, term) JOIN (SELECT lang, any_value(v) AS v, sum(n)::HUGEINT AS n FROM side GROUP BY lang) USING (lang)
+), apart AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM priced a JOIN priced b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), part AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+  FROM side a JOIN side b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN apart ON a.lang = apart.lang AND a.source = apart.source AND b.source = item
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q)::BIGINT FROM priced JOIN whole USING (lang, term) WHERE c > 0 AND p > q
+)
+SELECT lang, source, part, item, value, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+FROM part QUALIFY part = 'pair' OR rank <= {divergence.TOP_TERMS}
+"""
+
+
+def _leaf_sql(text: str) -> str:
+    fields = [f"CAST({text if name == 'text' else name} AS VARCHAR)" for name in merkle.FIELDS]
+    return "sha256(" + " || ".join(f"coalesce(strlen({f}) || ':' || {f}, '-')" for f in fields) + ")"
+
+
+# The lowest bit of a CRC-32, bit by bit, as DuckDB has no such function.
+_EVEN_SQL = """list_reduce(list_prepend(4294967295, [ascii(x)::BIGINT FOR x IN string_split(CAST(doc_id AS VARCHAR), '')]),
+  lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda y, z: xor(y >> 1, 3988292384 * (y & 1)))) & 1 = 1"""
+
+
+def _climb_sql(start: str, nodes: str, name: str) -> str:
+    """Replace a node and take its place up to the head; ``seen`` gathers the siblings on the way."""
+    return f"""{name} AS (
+  {start}
+  UNION ALL
+  SELECT w.r, w.tree, w.level + 1, w.i // 3, sha256(string_agg(CASE WHEN o.i = w.i THEN w.x ELSE o.h END, '' ORDER BY o.i)),
+    w.seen || coalesce(string_agg(o.h, '' ORDER BY o.i) FILTER (WHERE o.i <> w.i), '')
+  FROM {name} w JOIN {nodes} o ON o.tree = w.tree AND o.level = w.level AND o.i // 3 = w.i // 3
+  WHERE o.n > 1 GROUP BY w.r, w.tree, w.level, w.i, w.x, w.seen)"""
+
+
+def _tree_sql(start: str, name: str) -> str:
+    return f"""{name} AS (
+  {start}
+  UNION ALL
+  SELECT tree, level + 1, i // 3, (any_value(n) + 2) // 3, sha256(string_agg(h, '' ORDER BY i))
+  FROM {name} WHERE n > 1 GROUP BY tree, level, i // 3)"""
+
+
+_MERKLE_SQL = f"""
+WITH RECURSIVE hashed AS (
+  SELECT row_number() OVER () AS r, doc_id, source, {_leaf_sql("text")} AS leaf,
+    CASE WHEN {_EVEN_SQL} THEN {_leaf_sql("replace(text, chr(10), '')")} ELSE {_leaf_sql("text")} END AS changed
+  FROM documents
+), placed AS (
+  SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY source) AS n
+  FROM hashed
+), {_tree_sql("SELECT tree, 0 AS level, i, n, leaf AS h FROM placed", "node")},
+head AS (SELECT tree AS i, h FROM node WHERE n = 1),
+{_tree_sql("SELECT 0 AS tree, 0 AS level, i, count(*) OVER () AS n, h FROM head", "upper")},
+{_climb_sql("SELECT r, tree, 0 AS level, i, changed AS x, '' AS seen FROM placed", "node", "low")},
+{_climb_sql("SELECT r, 0 AS tree, 0 AS level, tree AS i, x, seen FROM low JOIN (SELECT tree, level FROM node WHERE n = 1) USING (tree, level)", "upper", "high")}
+SELECT doc_id, leaf, head.h AS subroot, root.h AS root, sha256(seen) AS proof_sha256, x AS folded_root, x = root.h AS verified
+FROM placed JOIN head ON head.i = placed.tree JOIN high USING (r)
+  JOIN (SELECT level, h FROM upper WHERE n = 1) root USING (level)
+"""
+
 ORACLES: dict[str, str] = {
     "op2_secret_scan": _SECRET_SQL,
     "op9_quality_rules": _QUALITY_SQL,
     "op10_url_filter": _URL_SQL,
+    "op11_source_divergence": _DIVERGENCE_SQL,
+    "op13_merkle_manifest": _MERKLE_SQL,
 }
