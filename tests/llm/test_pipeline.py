@@ -16,7 +16,10 @@ def test_stages_follow_each_other_and_equal_brute_force(spark, fresh_dir):
     prose = lambda k: " ".join(f"w{draw.randrange(10**5)}" for _ in range(k))
     item = prose(30)
     docs = [(i, prose(40)) for i in range(30)]
-    docs += [(100, docs[3][1]), (101, docs[4][1].replace("w1", "v1", 1)), (102, "too short"), (103, "a b c d e f " * 9)]
+    # An edit of the first word leaves a near copy; one in the middle changes five shingles of 36 and leaves another document.
+    middle = docs[5][1].split(" ")
+    middle[20] = "edited"
+    docs += [(100, docs[3][1]), (101, "edited " + docs[4][1].split(" ", 1)[1]), (102, "too short"), (103, "a b c d e f " * 9), (106, " ".join(middle))]
     docs += [(104, prose(20) + " " + item.upper() + " " + prose(10)), (105, prose(20) + " password=hunter2hunter2 " + prose(10))]
     frame = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in docs], "doc_id bigint, text string, lang string, source string, n_chars bigint")
     frame.write.parquet(f"{fresh_dir}/documents.parquet")
@@ -28,7 +31,7 @@ def test_stages_follow_each_other_and_equal_brute_force(spark, fresh_dir):
     left = [(i, t) for i, t in left if i in first]
     left = [(i, t) for i, t in left if brute.closest_passage(decontaminate.words(item), decontaminate.words(t)) > 6]
     left = [(i, t.replace("password=hunter2hunter2", "<assign>")) for i, t in left]
-    assert set(out) == {i for i, _ in left} and 104 not in out and 100 not in out and 101 not in out
+    assert set(out) == {i for i, _ in left} and not {100, 101, 104} & set(out) and {5, 106} <= set(out)
     library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     for i, text in left:
         ids = np.array(library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()

@@ -11,12 +11,12 @@ indicator matrices are small; Spark deals out the products and sums them. All fi
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,10 +33,11 @@ TOP_TERMS = 50
 _FOLD = bytes(b if b > 127 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
 
 TERM_BLOCK = 256
-SOURCE_BLOCK = 8
-# A task's own counts are handed on beyond so many entries or bytes of terms.
-HELD_TERMS = 400_000
-HELD_BYTES = 24 * 1024 * 1024
+SOURCE_BLOCK = 32
+# Columns of a product that are made at once: bounds a task's memory.
+COLUMNS_AT_ONCE = 1024
+# Texts whose terms are counted at once.
+TEXT_BYTES = 16 * 1024 * 1024
 
 
 class Counts(NamedTuple):
@@ -51,46 +52,56 @@ class Counts(NamedTuple):
     cells: DataFrame
 
 
+def _some(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Runs of rows with about ``TEXT_BYTES`` of text."""
+    sizes = np.cumsum(pc.binary_length(column(batch, "text")).to_numpy())
+    at = 0
+    while at < batch.num_rows:
+        done = int(sizes[at - 1]) if at else 0
+        to = max(at + 1, int(np.searchsorted(sizes, done + TEXT_BYTES, "right")))
+        yield batch.slice(at, to - at)
+        at = to
+
+
+def _words(text: pa.Array) -> tuple[np.ndarray, pa.DictionaryArray]:
+    """(row, term) of every term of every text, in lower case; the empty term may be among them."""
+    n = len(text)
+    cuts = np.frombuffer(text.buffers()[1], np.int32)[text.offset : text.offset + n + 1]
+    data = text.buffers()[2].slice(cuts[0], cuts[-1] - cuts[0]).to_pybytes() if cuts[-1] > cuts[0] else b""
+    # One byte becomes one byte, so the texts keep their places.
+    folded = pa.StringArray.from_buffers(n, pa.py_buffer((cuts - cuts[0]).tobytes()), pa.py_buffer(data.translate(_FOLD)))
+    split = pc.ascii_split_whitespace(folded)
+    return np.repeat(np.arange(n), pc.list_value_length(split).to_numpy()), split.flatten().dictionary_encode()
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """lang, source, term, docs, c of the rows of a task; the empty term stands for the group itself, with its rows."""
-    held: dict[tuple[str, str], dict[bytes, list[int]]] = {}
-    entries = size = 0
-
-    def flush() -> pa.RecordBatch:
-        out = pa.RecordBatch.from_pydict({
-            "lang": pa.array([g[0] for g, own in held.items() for _ in own], pa.string()),
-            "source": pa.array([g[1] for g, own in held.items() for _ in own], pa.string()),
-            "term": pa.array([t for own in held.values() for t in own], pa.binary()).cast(pa.string()),
-            "docs": pa.array([x[0] for own in held.values() for x in own.values()], pa.int64()),
-            "c": pa.array([x[1] for own in held.values() for x in own.values()], pa.int64()),
+    """lang, source, term, docs, c of runs of rows; the empty term stands for the group itself, with its rows."""
+    for rows in (r for batch in batches for r in _some(batch)):
+        pairs = pa.StructArray.from_arrays([column(rows, "lang"), column(rows, "source")], ["lang", "source"]).to_pylist()
+        groups = {g: k for k, g in enumerate(dict.fromkeys((p["lang"], p["source"]) for p in pairs))}
+        group = np.array([groups[p["lang"], p["source"]] for p in pairs], np.int64)
+        row, term = _words(column(rows, "text"))
+        n_terms = max(1, len(term.dictionary))
+        once, n = np.unique(row * n_terms + term.indices.to_numpy(), return_counts=True)
+        key, at = np.unique(group[once // n_terms] * n_terms + once % n_terms, return_inverse=True)
+        docs, c = np.bincount(at, minlength=len(key)), np.bincount(at, n, minlength=len(key)).astype(np.int64)
+        terms = term.dictionary.take(pa.array(key % n_terms)) if len(key) else pa.array([], pa.string())
+        real = pc.not_equal(terms, "").to_numpy(zero_copy_only=False)
+        names = [pa.array([g[k] for g in groups], pa.string()) for k in (0, 1)]
+        owner = np.concatenate([(key // n_terms)[real], np.arange(len(groups))])
+        yield pa.RecordBatch.from_pydict({
+            "lang": names[0].take(pa.array(owner)), "source": names[1].take(pa.array(owner)),
+            "term": pa.concat_arrays([terms.filter(pa.array(real)), pa.array([""] * len(groups), pa.string())]),
+            "docs": pa.array(np.concatenate([docs[real], np.bincount(group, minlength=len(groups))]), pa.int64()),
+            "c": pa.array(np.concatenate([c[real], np.zeros(len(groups), np.int64)]), pa.int64()),
         })
-        held.clear()
-        return out
-
-    for batch in batches:
-        rows = zip(column(batch, "lang").to_pylist(), column(batch, "source").to_pylist(), column(batch, "text"))
-        for lang, source, text in rows:
-            own = held.setdefault((lang, source), {b"": [0, 0]})
-            own[b""][0] += 1
-            for term, n in Counter(text.as_buffer().to_pybytes().translate(_FOLD).split()).items():
-                if (entry := own.get(term)) is None:
-                    own[term] = [1, n]
-                    entries += 1
-                    size += len(term)
-                else:
-                    entry[0] += 1
-                    entry[1] += n
-            if entries > HELD_TERMS or size > HELD_BYTES:
-                yield flush()
-                entries = size = 0
-    if held:
-        yield flush()
 
 
 def count_terms(docs: DataFrame, least_docs: int = LEAST_DOCS) -> Counts:
     """Counts of the terms that stand in ``least_docs`` documents of their language or more.
 
-    Each task adds up its rows before anything is shuffled, so a source or a term with a third of all rows costs a row a task.
+    Rows are added up in Python and again on the map side before anything is shuffled, so a source or a term with a third of all
+    rows costs a row a task.
     """
     rows = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
     parts = rows.mapInArrow(_count, "lang string, source string, term string, docs bigint, c bigint")
@@ -145,7 +156,8 @@ def _side(n_terms: int, groups: list[dict], term: np.ndarray, group: np.ndarray,
 def _blocks(counts: Counts) -> DataFrame:
     """A row for each product: two blocks of sources of a language and a block of its terms.
 
-    lang, v, n_terms, groups and others (lists of source, n), mine and theirs (lists of term, group, c; nulls if none).
+    lang, v, n_terms, first (place of the first term); groups and others (lists of g, source, n); and for each of both the
+    cells as lists of places, groups and counts, null where a block has none.
     """
     in_order = Window.partitionBy("lang").orderBy("source")
     numbered = counts.groups.where("v > 0").withColumn("g", F.row_number().over(in_order) - 1)
@@ -156,48 +168,55 @@ def _blocks(counts: Counts) -> DataFrame:
     rows = counts.terms.select("lang", F.expr(f"place div {TERM_BLOCK}").alias("rows"), "place")
     rows = rows.groupBy("lang", "rows").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n_terms"))
     cells = counts.cells.join(lookup_side(numbered.select("lang", "source", "g", "block")), ["lang", "source"])
-    entry = F.struct("place", "g", "c")
-    lists = store(
-        cells.groupBy("lang", F.expr(f"place div {TERM_BLOCK}").alias("rows"), "block").agg(F.collect_list(entry).alias("of")), "term-blocks"
+    lists = cells.groupBy("lang", F.expr(f"place div {TERM_BLOCK}").alias("rows"), "block").agg(
+        F.collect_list(F.struct("place", "g", "c")).alias("of")
     )
+    lists = store(lists.select("lang", "rows", "block", *[F.col(f"of.{x}").alias(x) for x in ("place", "g", "c")]), "term-blocks")
     one = sources.join(lookup_side(rows), "lang")
     two = sources.select("lang", F.col("block").alias("other"), F.col("groups").alias("others"))
     work = one.join(lookup_side(two), "lang").where("block <= other")
-    mine = lists.withColumnRenamed("of", "mine")
-    theirs = lists.select("lang", "rows", F.col("block").alias("other"), F.col("of").alias("theirs"))
-    return work.join(mine, ["lang", "rows", "block"], "left").join(theirs, ["lang", "rows", "other"], "left")
+    theirs = lists.select("lang", "rows", F.col("block").alias("other"), *[F.col(x).alias(f"other_{x}") for x in ("place", "g", "c")])
+    # A block with itself needs its cells once.
+    theirs = theirs.withColumn("apart", F.lit(True))
+    work = work.join(lists, ["lang", "rows", "block"], "left").withColumn("apart", F.col("block") < F.col("other"))
+    return work.join(theirs, ["lang", "rows", "other", "apart"], "left")
 
 
-def _products(of: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, _Side, _Side, np.ndarray]]:
-    """Each row of ``_blocks`` with its two sides and their product, the joint tables of its terms."""
+def _products(of: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, _Side, _Side, slice, np.ndarray]]:
+    """Each row of ``_blocks`` with its two sides and their product, the joint tables of its terms, some columns of the first side at a time."""
+    plain = ["lang", "block", "other", "v", "n_terms", "first", "groups", "others"]
     for batch in of:
         for k in range(batch.num_rows):
-            row = batch.slice(k, 1).to_pylist()[0]
+            some = batch.slice(k, 1)
+            row = some.select(plain).to_pylist()[0]
 
-            def side(groups: list[dict], cells: list[dict] | None) -> _Side:
-                entries = np.array([(x["place"], x["g"], x["c"]) for x in cells or []], np.int64).reshape(-1, 3)
-                return _side(row["n_terms"], groups, entries[:, 0] - row["first"], entries[:, 1] - groups[0]["g"], entries[:, 2], row["v"])
+            def side(groups: list[dict], prefix: str) -> _Side:
+                place, g, c = (column(some, prefix + x).flatten().to_numpy() for x in ("place", "g", "c"))
+                return _side(row["n_terms"], groups, place - row["first"], g - groups[0]["g"], c, row["v"])
 
-            a = side(row["groups"], row["mine"])
-            b = a if row["block"] == row["other"] else side(row["others"], row["theirs"])
-            # Exact: sums of at most TERM_BLOCK ones.
-            yield row, a, b, (a.matrix.T @ b.matrix).astype(np.int64)
+            a = side(row["groups"], "")
+            b = a if row["block"] == row["other"] else side(row["others"], "other_")
+            for at in range(0, a.matrix.shape[1], COLUMNS_AT_ONCE):
+                part = slice(at, at + COLUMNS_AT_ONCE)
+                # Exact: sums of at most TERM_BLOCK ones.
+                yield row, a, b, part, (a.matrix[:, part].T @ b.matrix).astype(np.int64)
 
 
 def joint_tables(counts: Counts) -> DataFrame:
     """lang, source, other, level, other_level, terms: how many kept terms have these counts in two sources, source < other."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row, a, b, product in _products(batches):
+        for row, a, b, part, product in _products(batches):
             i, j = np.nonzero(product)
+            terms, i = product[i, j], i + part.start
             before = np.array([g["g"] for g in row["groups"]])[a.group[i]] < np.array([g["g"] for g in row["others"]])[b.group[j]]
-            i, j = i[before], j[before]
+            i, j, terms = i[before], j[before], terms[before]
             yield pa.RecordBatch.from_pydict({
                 "lang": pa.array([row["lang"]] * len(i), pa.string()),
                 "source": pa.array([row["groups"][g]["source"] for g in a.group[i]], pa.string()),
                 "other": pa.array([row["others"][g]["source"] for g in b.group[j]], pa.string()),
                 "level": pa.array(a.level[i], pa.int64()), "other_level": pa.array(b.level[j], pa.int64()),
-                "terms": pa.array(product[i, j], pa.int64()),
+                "terms": pa.array(terms, pa.int64()),
             })
 
     parts = _blocks(counts).mapInArrow(run, "lang string, source string, other string, level bigint, other_level bigint, terms bigint")
@@ -211,13 +230,13 @@ def distances(counts: Counts) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row, a, b, product in _products(batches):
-            product *= np.abs(a.prices[:, None] - b.prices[None, :])
-            starts = [np.searchsorted(s.group, np.arange(len(g))) for s, g in ((a, row["groups"]), (b, row["others"]))]
+        for row, a, b, part, product in _products(batches):
+            product *= np.abs(a.prices[part, None] - b.prices[None, :])
+            owner = a.group[part]
+            starts = [np.flatnonzero(np.diff(g, prepend=-1)) for g in (owner, b.group)]
             sums = np.add.reduceat(np.add.reduceat(product, starts[0], 0), starts[1], 1)
-            pairs = [
-                (x["source"], y["source"], v) for x, own in zip(row["groups"], sums.tolist()) for y, v in zip(row["others"], own) if x["g"] < y["g"]
-            ]
+            mine = [row["groups"][g] for g in owner[starts[0]]]
+            pairs = [(x["source"], y["source"], v) for x, own in zip(mine, sums.tolist()) for y, v in zip(row["others"], own) if x["g"] < y["g"]]
             yield pa.RecordBatch.from_pydict({
                 "lang": pa.array([row["lang"]] * len(pairs), pa.string()), "source": pa.array([p[0] for p in pairs], pa.string()),
                 "item": pa.array([p[1] for p in pairs], pa.string()), "value": pa.array([p[2] for p in pairs], pa.int64()),
