@@ -51,14 +51,19 @@ def stay_drugs(
     by one. The stays table grows with the data, so it is not broadcast: the
     join shuffles on the admission.
     """
-    stays = (
-        icustays.filter(F.col("stay_id").isNotNull())
-        .groupBy(*keys, "stay_id")
-        .agg(F.count(F.lit(1)).alias("n_stay"))
-    )
+    return drugs_of_stays(admission_drugs(prescriptions, keys), admission_stays(icustays, keys), keys)
+
+
+def admission_stays(icustays: DataFrame, keys: Sequence[str] = ADMISSION) -> DataFrame:
+    """Per admission and ICU stay: its rows in the stays table."""
+    stays = icustays.filter(F.col("stay_id").isNotNull())
+    return stays.groupBy(*keys, "stay_id").agg(F.count(F.lit(1)).alias("n_stay"))
+
+
+def drugs_of_stays(drugs: DataFrame, stays: DataFrame, keys: Sequence[str] = ADMISSION) -> DataFrame:
+    """``stay_drugs`` from ``admission_drugs`` and ``admission_stays``; stored in buckets of the admission, they join without a shuffle."""
     return (
-        admission_drugs(prescriptions, keys)
-        .join(stays, list(keys))
+        drugs.join(stays, list(keys))
         .groupBy("stay_id", "drug")
         .agg(
             F.sum(F.col("n_rx") * F.col("n_stay")).alias("n_rx"),

@@ -43,15 +43,20 @@ def co_occurrence(diagnoses: DataFrame, prescriptions: DataFrame) -> DataFrame:
     repeated codes and drugs of an admission never pair up row by row: an
     admission adds no more rows than distinct (code, drug) results.
     """
-    code = ", ".join(f"d.{c}" for c in code_key(diagnoses))
-    return diagnoses.sparkSession.sql(
+    return pair_counts(admission_codes(diagnoses), admission_medications(prescriptions))
+
+
+def pair_counts(codes: DataFrame, medications: DataFrame) -> DataFrame:
+    """``co_occurrence`` from ``admission_codes`` and ``admission_medications``."""
+    code = ", ".join(f"d.{c}" for c in code_key(codes))
+    return codes.sparkSession.sql(
         f"""
         SELECT {code}, m.drug, SUM(d.n_dx * m.n_rx) AS pair_count
         FROM {{codes}} d JOIN {{medications}} m ON d.hadm_id = m.hadm_id
         GROUP BY {code}, m.drug
         """,
-        codes=admission_codes(diagnoses),
-        medications=admission_medications(prescriptions),
+        codes=codes,
+        medications=medications,
     )
 
 

@@ -16,13 +16,17 @@ from wardline.functions.banding import alert_colour
 from wardline.functions.messages import decode, encode
 from wardline.functions.parsing import event_time
 from wardline.operators import features as ft
-from wardline.operators import meds, quality, recommend, report, sampling, serving, vitals
+from wardline.operators import fingerprint, meds, quality, recommend, report, sampling, serving, vitals
 from wardline.plans import flows, stand_in
+from wardline.operators.ordering import dense_sequence
 from wardline.session import scratch_path
+from wardline.sources import csv_split, tail
+from wardline.sources.bucketed import store_bucketed
 from wardline.sources.csv_ingest import ingest_tables
 from wardline.sources.messages import message_writer, read_messages
 from wardline.sources.tables import read_table
-from wardline.streaming import ingest, replay
+from wardline.streaming import ingest, replay, views
+from wardline.streaming.compaction import CompactedTable
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -605,6 +609,22 @@ def last_100_messages(spark, sf):
     )
 
 
+_BATCH_MESSAGES = 1000
+
+
+@query(
+    f"""
+    SELECT epoch_us(ts) AS time_us, event_id AS "offset", event_type AS itemid, value FROM {_LAST_100}"""
+)
+def tail_100_messages(spark, sf):
+    """The last messages of a topic stored by micro-batch, from its newest batches alone."""
+    topic = scratch_path(spark, "stored-topic")
+    arrived = dense_sequence(stand_in.messages(spark, sf), ["message_time", "offset"])
+    batch = F.expr(f"seq div {_BATCH_MESSAGES}")
+    tail.store_batches(arrived.withColumn("partition", F.lit(0)), topic, batch)
+    return tail.last_stored(spark, topic).select(micros("time").alias("time_us"), "offset", "itemid", "value")
+
+
 # --- replay and ingest -------------------------------------------------------
 
 
@@ -779,6 +799,132 @@ def loaded_trend_one_patient(spark, sf):
     return trend.withColumn("time_ms", F.unix_millis("time")).drop("time")
 
 
+def _load_topic(spark, sf, sink):
+    """Events as a topic of files, loaded a few files a micro-batch."""
+    topic = scratch_path(spark, "topic")
+    events = replay.name_vitals(replay.with_event_time(stand_in.coded_charts(spark, sf)))
+    encode(events).select("value").repartition(8).write.text(topic)
+    loading = ingest.load_messages(
+        read_messages(spark, StreamConfig(), "text", topic, most_per_batch=2),
+        sink,
+        ingest.parquet_sink(scratch_path(spark, "rejects")),
+        scratch_path(spark, "load-checkpoint"),
+        {"availableNow": True},
+    )
+    ingest.finish(loading.start())
+
+
+@query(
+    """
+    SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS event_date, COUNT(*) AS rows, COUNT(DISTINCT user_id) AS patients,
+           MIN(epoch_us(ts) // 1000) AS first_ms, MAX(epoch_us(ts) // 1000) AS last_ms
+    FROM events GROUP BY 1"""
+)
+def compacted_days(spark, sf):
+    """Days of a loaded table after two compactions; the last micro-batch is still loose."""
+    path = scratch_path(spark, "served-by-day")
+    _load_topic(spark, sf, ingest.day_sink(path))
+    table = CompactedTable(spark, path)
+    table.compact(upto=0)
+    table.compact()
+    table.clean()
+    time = F.unix_millis("event_time")
+    return table.read().groupBy(F.col("event_date").cast("string").alias("event_date")).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("subject_id").alias("patients"),
+        F.min(time).alias("first_ms"), F.max(time).alias("last_ms"),
+    )
+
+
+@query("SELECT DISTINCT CAST(user_id AS VARCHAR) AS subject_id FROM events")
+def maintained_patients(spark, sf):
+    """The patient list, kept while a topic is loaded."""
+    view = scratch_path(spark, "patients")
+    table = ingest.day_sink(scratch_path(spark, "served-by-day"))
+    _load_topic(spark, sf, views.fan_out(table, views.distinct_sink(view, "subject_id")))
+    return views.maintained_patient_list(spark, view)
+
+
+# Small enough to cut the small tables in many places too.
+_CSV_RANGE_BYTES = 64 * 1024
+
+
+@query(
+    """
+    SELECT event_id, props || chr(10) || event_type || chr(10) || '"' || user_id || '", ' AS note, value FROM events"""
+)
+def csv_split_ranges(spark, sf):
+    """A plain CSV file with quotes and line breaks in its fields, cut at many borders."""
+    path = scratch_path(spark, "plain-csv")
+    note = F.concat_ws("\n", "props", "event_type", F.concat(F.lit('"'), F.col("user_id").cast("string"), F.lit('", ')))
+    rows = read_table(spark, sf, "events").select("event_id", note.alias("note"), "value")
+    rows.coalesce(1).write.option("header", True).option("escape", '"').csv(path)
+    files = [r["path"] for r in tail.files_of(spark, path).select("path").collect()]
+    found = csv_split.records(spark, files, _CSV_RANGE_BYTES)
+    parsed = csv_split.read_records(found, rows.schema)
+    return parsed.select(F.col("event_id").cast("bigint"), "note", F.col("value").cast("double"))
+
+
+_CHANGED = """
+    changed AS (
+        SELECT o_orderkey, CASE WHEN o_orderkey % 1000 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus,
+               CASE WHEN o_custkey % 2 = 0 THEN o_custkey + 1 ELSE o_custkey - 1 END AS o_custkey FROM orders)"""
+
+
+@query(
+    f"""WITH {_CHANGED},
+    answers AS (
+        {' UNION ALL '.join(
+            f"SELECT '{c}' AS column_name, NOT EXISTS ((SELECT {c} FROM orders EXCEPT ALL SELECT {c} FROM changed)) AS same"
+            for c in ("o_orderkey", "o_orderstatus", "o_custkey"))}
+        UNION ALL SELECT '(rows)', NOT EXISTS (
+            (SELECT o_orderkey, o_orderstatus, o_custkey FROM orders EXCEPT ALL SELECT * FROM changed)))
+    SELECT column_name, (SELECT COUNT(*) FROM orders) AS rows_a, (SELECT COUNT(*) FROM changed) AS rows_b, same FROM answers"""
+)
+def content_check(spark, sf):
+    """Orders against a copy with some values changed and others at the wrong rows."""
+    orders = read_table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_custkey")
+    copy = orders.select(
+        "o_orderkey",
+        F.when(F.col("o_orderkey") % 1000 == 0, "X").otherwise(F.col("o_orderstatus")).alias("o_orderstatus"),
+        F.when(F.col("o_custkey") % 2 == 0, F.col("o_custkey") + 1).otherwise(F.col("o_custkey") - 1).alias("o_custkey"),
+    )
+    return fingerprint.compare_content(orders, copy)
+
+
+@query(
+    """
+    SELECT o_custkey AS stay_id, drug, COUNT(*) AS n_rx
+    FROM (SELECT s.o_custkey AS subject_id, l_orderkey AS hadm_id, p_name AS drug
+          FROM lineitem JOIN part ON l_partkey = p_partkey
+            JOIN (SELECT DISTINCT o_orderkey, o_custkey FROM orders) s ON l_orderkey = s.o_orderkey)
+      JOIN orders ON o_custkey = subject_id AND o_orderkey = hadm_id
+    GROUP BY o_custkey, drug"""
+)
+def bucketed_prescribed_drugs(spark, sf):
+    """Drugs of each stay from tables stored in buckets of both columns of the admission; they meet without a shuffle."""
+    stored = store_bucketed(
+        {
+            "drugs": meds.admission_drugs(stand_in.admission_prescriptions(spark, sf)),
+            "stays": meds.admission_stays(stand_in.admissions(spark, sf)),
+        },
+        meds.ADMISSION,
+    ).frames
+    return meds.drugs_of_stays(stored["drugs"], stored["stays"]).select("stay_id", "drug", "n_rx")
+
+
+@query(f"WITH {_PAIRS} SELECT icd_code, drug, pair_count FROM pairs")
+def bucketed_pairs(spark, sf):
+    """How often each drug goes with each diagnosis, from tables stored in buckets of the admission."""
+    stored = store_bucketed(
+        {
+            "codes": recommend.admission_codes(stand_in.diagnoses(spark, sf)),
+            "medications": recommend.admission_medications(stand_in.prescriptions(spark, sf)),
+        },
+        ["hadm_id"],
+    ).frames
+    return recommend.pair_counts(stored["codes"], stored["medications"])
+
+
 _CSV_TABLES = ("nation", "supplier", "customer")
 
 

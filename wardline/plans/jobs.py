@@ -14,7 +14,8 @@ from wardline.schemas import VITAL_BANDS
 from wardline.session import sized_shuffles
 from wardline.sources.csv_ingest import ingest_tables, require_complete
 from wardline.functions.messages import decode
-from wardline.sources.messages import read_messages, read_topic
+from wardline.sources import tail
+from wardline.sources.messages import read_messages
 from wardline.sources.tables import read_table, read_tables
 from wardline.streaming import ingest, replay
 
@@ -159,14 +160,18 @@ def panel_job(
     fmt: str = "kafka",
     path: str | None = None,
     n: int = 100,
+    held: tail.Offsets | None = None,
 ) -> DataFrame:
-    """The panel's last values among the ``n`` sound messages of the topic that arrived last."""
-    decoded = decode(read_topic(spark, config, fmt, path)).filter("reject_reason IS NULL")
-    last = serving.last_messages(
-        decoded.select(
+    """The panel's last values among the ``n`` sound messages of the topic that arrived last.
+
+    Only the newest part of the topic is read; of a Kafka topic that needs the offsets its partitions hold.
+    """
+
+    def sound(messages: DataFrame) -> DataFrame:
+        return decode(messages).filter("reject_reason IS NULL").select(
             F.col("event_time").alias("time"), "message_time", "partition", "offset", "itemid",
             F.col("valuenum").alias("value"),
-        ),
-        n=n,
-    )
-    return serving.panel_values(last, n=n)
+        )
+
+    newest = tail.topic_tail(spark, config, n, fmt, path, held, sound)
+    return serving.panel_values(serving.last_messages(newest, n=n), n=n)

@@ -104,6 +104,18 @@ def prescriptions(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def admission_prescriptions(spark: SparkSession, sf: str) -> DataFrame:
+    """Prescriptions under both columns of the admission's key; the subject is the order's customer."""
+    orders = read_table(spark, sf, "orders")
+    subjects = orders.select(F.col("o_orderkey").alias("hadm_id"), F.col("o_custkey").alias("subject_id")).distinct()
+    return prescriptions(spark, sf).join(subjects, "hadm_id")
+
+
+def admissions(spark: SparkSession, sf: str) -> DataFrame:
+    """ICU stays under both columns of the admission's key."""
+    return icustays(spark, sf).withColumn("subject_id", F.col("stay_id"))
+
+
 def diagnoses(spark: SparkSession, sf: str) -> DataFrame:
     orders = read_table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("hadm_id"), F.col("o_custkey").alias("c_custkey")

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,9 @@ TARGET_PARTITION_BYTES = 256 * 1024 * 1024
 # Rows the driver hands over carry a default estimate near the largest long.
 UNKNOWN_SIZE_BYTES = 1 << 62
 
+# Scratch paths outside any scope, and those of the scope that a thread is in.
 _written: list[str] = []
+_scope: ContextVar[list[str] | None] = ContextVar("scratch_scope", default=None)
 _local_root: list[str] = []
 
 
@@ -87,7 +90,8 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the scratch folder."""
     path = f"{scratch_root(spark)}/wardline-{label}-{uuid.uuid4().hex}"
-    _written.append(path)
+    own = _scope.get()
+    (_written if own is None else own).append(path)
     return path
 
 
@@ -103,28 +107,34 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release_scratch(spark: SparkSession, since: int = 0) -> int:
-    """Delete the scratch tables this process wrote; call when results are stored.
-
-    ``since`` keeps the first so many of them.
-    """
+def _delete(spark: SparkSession, paths: list[str]) -> int:
     jvm = spark._jvm
     conf = spark._jsc.hadoopConfiguration()
     released = 0
-    while len(_written) > since:
-        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+    while paths:
+        path = jvm.org.apache.hadoop.fs.Path(paths.pop())
         released += bool(path.getFileSystem(conf).delete(path, True))
     return released
 
 
+def release_scratch(spark: SparkSession) -> int:
+    """Delete the scratch tables this process wrote outside of scopes; call when results are stored."""
+    return _delete(spark, _written)
+
+
 @contextmanager
 def scratch_scope(spark: SparkSession) -> Iterator[None]:
-    """Scratch tables written within the block are deleted at its end; results have to be stored by then."""
-    since = len(_written)
+    """Scratch tables written within the block are deleted at its end; results have to be stored by then.
+
+    A scope belongs to its thread: tables that others write at the same time are not its own.
+    """
+    own: list[str] = []
+    before = _scope.set(own)
     try:
         yield
     finally:
-        release_scratch(spark, since)
+        _scope.reset(before)
+        _delete(spark, own)
 
 
 def input_bytes(df: DataFrame) -> int:

@@ -1,27 +1,35 @@
-"""Gzip CSV to typed Parquet.
+"""Gzip or plain CSV to typed Parquet.
 
 A ``.gz`` file can only be read front to back, by one task per file. So each
 file is unpacked once into an all-text Parquet scratch table; typing and the
-final write then run on as many tasks as the data needs.
+final write then run on as many tasks as the data needs. Plain files are cut by
+many tasks from the start, quoted line breaks or not.
 """
 
 from __future__ import annotations
 
 import logging
+from concurrent.futures import ThreadPoolExecutor
 
 from py4j.protocol import Py4JJavaError
+from pyspark import inheritable_thread_target
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardline.functions.parsing import text_integer, text_number, tokens_to_null
+from wardline.operators.fingerprint import differing
 from wardline.schemas import CSV_NULL_TOKENS, TEXT_NULL_TOKENS
 from wardline.session import materialize, scratch_scope
+from wardline.sources.csv_split import read_records, records
 
 log = logging.getLogger(__name__)
 
 NUMERIC_SHARE = 0.7
+TABLES_AT_ONCE = 4
+# Files with these endings are unpacked by Spark, front to back.
+PACKED = (".gz", ".bz2", ".zst", ".deflate", ".snappy", ".lz4", ".xz")
 _RAGGED = "_ragged"
 _LONG = "_long"
 
@@ -45,8 +53,9 @@ def read_csv_text(
     read together, and a column that a file lacks is null in its rows. Reading
     the headers costs a small read of each file. ``ragged`` names an extra
     column that holds the whole line where it has more or fewer fields than the
-    header, and null elsewhere. Without ``multi_line`` a quoted field may not
-    hold a line break, and plain files are split over tasks.
+    header, and null elsewhere. Plain files are split over tasks; without
+    ``multi_line`` a quoted field may not hold a line break, which saves reading
+    them twice.
     """
     reader = (
         spark.read.option("header", True)
@@ -61,11 +70,16 @@ def read_csv_text(
     out = None
     for header, files in by_header.items():
         names = [*header, *([ragged] if ragged else [])]
-        part = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in names]))
-        if ragged:
-            part = part.option("columnNameOfCorruptRecord", ragged)
-        rows = part.csv(files)
-        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
+        plain = [f for f in files if multi_line and not f.lower().endswith(PACKED)]
+        parts = [read_records(records(spark, plain), schema, ragged)] if plain else []
+        if others := [f for f in files if f not in set(plain)]:
+            part = reader.schema(schema)
+            if ragged:
+                part = part.option("columnNameOfCorruptRecord", ragged)
+            parts.append(part.csv(others))
+        for rows in parts:
+            out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
     return reader.csv(path) if out is None else out
 
 
@@ -166,9 +180,9 @@ def convert_csv(
         text = normalize_nulls(unpacked.filter(~F.col(_LONG)).drop(_RAGGED, _LONG))
         typed = apply_types(text, infer_types(text, keep_string))
         typed.write.option("compression", "snappy").mode("overwrite").parquet(target)
-    return verify_copy(
-        spark, seen["rows"], target, table or source, seen["ragged"] - seen["long"], seen["long"], allow_ragged
-    )
+        return verify_copy(
+            spark, seen["rows"], target, table or source, seen["ragged"] - seen["long"], seen["long"], allow_ragged, typed
+        )
 
 
 def _too_long(raw: DataFrame, width: int) -> Column:
@@ -177,17 +191,31 @@ def _too_long(raw: DataFrame, width: int) -> Column:
 
 
 def verify_copy(
-    spark: SparkSession, rows_in: int, target: str, table: str, short: int = 0, rejected: int = 0, allow_ragged: bool = False
+    spark: SparkSession,
+    rows_in: int,
+    target: str,
+    table: str,
+    short: int = 0,
+    rejected: int = 0,
+    allow_ragged: bool = False,
+    content: DataFrame | None = None,
 ) -> Row:
-    """Compare the rows that went in with those that can be read back or were rejected."""
-    rows_out = spark.read.parquet(target).count()
+    """Compare the rows that went in with those that can be read back or were rejected.
+
+    ``content`` is what was to be written: its values are compared with those read back, by one aggregation each.
+    """
+    copy = spark.read.parquet(target)
+    rows_out = copy.count()
     lost = rows_in - rows_out - rejected
     notes = [f"{lost} rows lost"] if lost else []
+    wrong = [] if content is None else differing(content, copy)
+    if wrong:
+        notes.append(f"content differs in {', '.join(wrong)}")
     if short:
         notes.append(f"{short} lines with fewer fields than the header")
     if rejected:
         notes.append(f"{rejected} lines with more fields than the header rejected")
-    ok = not lost and (allow_ragged or not rejected)
+    ok = not lost and not wrong and (allow_ragged or not rejected)
     log.info("%s: %d rows in, %d rows out", table, rows_in, rows_out)
     return Row(table=table, rows_in=rows_in, rows_out=rows_out, ok=ok, note="; ".join(notes))
 
@@ -197,19 +225,33 @@ def ingest_tables(
     sources: dict[str, str],
     target_base: str,
     keep_string: dict[str, tuple[str, ...]] | None = None,
+    at_once: int = TABLES_AT_ONCE,
 ) -> DataFrame:
-    """Convert several tables, one status row each; an input that fails is noted and skipped."""
-    status = []
-    for table, source in sources.items():
-        target = f"{target_base.rstrip('/')}/{table}.parquet"
+    """Convert several tables, one status row each; an input that fails is noted and skipped.
+
+    ``at_once`` tables are worked on side by side, each in a scheduler pool of its own: one that keeps few tasks
+    busy (a single gzip file) leaves the rest of the cluster to others. Pools share alike where
+    ``spark.scheduler.mode`` is FAIR. Each table has its own scratch tables and its own failure.
+    """
+
+    def convert(table: str, source: str) -> Row:
+        context = spark.sparkContext
+        context.setLocalProperty("spark.scheduler.pool", f"ingest-{table}")
         try:
-            status.append(
-                convert_csv(spark, source, target, table, (keep_string or {}).get(table, ()))
+            return convert_csv(
+                spark, source, f"{target_base.rstrip('/')}/{table}.parquet", table, (keep_string or {}).get(table, ())
             )
         except (PySparkException, Py4JJavaError) as error:
             log.warning("%s skipped: %s", table, error)
             note = f"failed: {str(error).splitlines()[0]}"
-            status.append(Row(table=table, rows_in=None, rows_out=None, ok=False, note=note))
+            return Row(table=table, rows_in=None, rows_out=None, ok=False, note=note)
+        finally:
+            context.setLocalProperty("spark.scheduler.pool", None)
+
+    with ThreadPoolExecutor(max_workers=max(1, at_once)) as pool:
+        # Each call gets the caller's job group and other local properties.
+        jobs = [pool.submit(inheritable_thread_target(spark)(convert), *pair) for pair in sources.items()]
+        status = [job.result() for job in jobs]
     return spark.createDataFrame([tuple(row) for row in status], STATUS)
 
 
