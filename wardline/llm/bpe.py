@@ -13,6 +13,7 @@ import hashlib
 import heapq
 import json
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +21,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from wardline.llm.common import column, in_groups, map_batches, texts
+from wardline.llm.memory import Memory
 
 # Fixed value: the pre-tokenizer's pattern, white space spelt out as Unicode's White_Space.
 _SPACE = r"\t-\r\x20\x85\xa0  -     　"
@@ -28,8 +30,8 @@ PATTERN = (
     % {"s": _SPACE}
 )
 
-# Distinct pieces that a worker remembers; then it starts anew.
-REMEMBERED_PIECES = 300_000
+# Bytes of a generation of remembered words, and of pieces; a worker holds two of each.
+REMEMBERED_BYTES = 40 * 1024 * 1024
 NEVER = 1 << 40
 # Bytes up to which a piece is merged by rescanning its pairs.
 SHORT_PIECE = 64
@@ -72,8 +74,9 @@ class ByteBpe:
         self.special = regex.compile("(" + "|".join(map(regex.escape, self.specials)) + ")") if self.specials else None
         # Spaces that the pattern does not simply put before the next word.
         self.spaces = [c for c in map(chr, range(0x3001)) if re.match(f"[{_SPACE}]", c)]
-        self.known: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.known, self.words = Memory(REMEMBERED_BYTES), Memory(REMEMBERED_BYTES)
+        # The bytes of all tokens one after the other, to be taken by id.
+        self.token_bytes = pa.array(self.token, pa.binary())
 
     def _spines(self, left, right, made) -> None:
         """For each token, its outermost parts on either side and the rank of the merge that ends each part."""
@@ -200,10 +203,10 @@ class ByteBpe:
         ends = (4 * np.cumsum(counts)).tolist()
         begin = 0
         for p, end in zip(pieces, ends):
-            self.known[p] = packed[begin:end]
+            self.known.put(p, packed[begin:end])
             begin = end
         for i in failed.tolist():
-            self.known[pieces[i]] = np.array(self.merge(raw[i]), "<u4").tobytes()
+            self.known.put(pieces[i], array("I", self.merge(raw[i])).tobytes())
         return len(pieces), len(failed)
 
     def split(self, text: str) -> list[str]:
@@ -225,39 +228,46 @@ class ByteBpe:
         Words between single spaces are looked up whole, with the space before them, as no
         piece crosses from one to the next; other texts are looked up by piece.
         """
-        if len(self.known) > REMEMBERED_PIECES:
-            self.known = {}
-        if len(self.words) > REMEMBERED_PIECES:
-            self.words = {}
-        if not self.known:
-            self.known.update({s: np.array([i], "<u4").tobytes() for s, i in self.specials.items()})
-        known, words = self.known, self.words
-        plan, pieces_of = [], {}
+        self.known.turn()
+        self.words.turn()
+        special = [s for s in self.specials]
+        plan, loose, spaced = [], [], []
         for text in batch:
-            if self.loose(text) or any(s in text for s in self.specials):
+            if self.loose(text) or any(s in text for s in special):
                 plan.append((False, self.split(text)))
-                continue
-            first, *rest = text.split(" ")
-            plan.append((True, (self.find(first), rest)))
-            for w in rest:
-                if w not in words and w not in pieces_of:
-                    pieces_of[w] = self.find(" " + w)
-        new = {p for pieces in pieces_of.values() for p in pieces if p not in known}
-        for spaced, parts in plan:
-            new.update(p for p in (parts[0] if spaced else parts) if p not in known)
-        self.learn(list(new))
-        get = known.__getitem__
+                loose.append(plan[-1][1])
+            else:
+                first, *rest = text.split(" ")
+                plan.append((True, (self.find(first), rest)))
+                loose.append(plan[-1][1][0])
+                spaced.append(rest)
+        pieces_of = {w: self.find(" " + w) for w in self.words.missing(set().union(*spaced))}
+        self.known_specials()
+        self.learn(self.known.missing(set().union(*loose, *pieces_of.values())))
+        get = self.known.young.__getitem__
         for w, pieces in pieces_of.items():
-            words[w] = b"".join(map(get, pieces))
-        word = words.__getitem__
+            self.words.put(w, b"".join(map(get, pieces)) if len(pieces) > 1 else get(pieces[0]) if pieces else b"")
+        word = self.words.young.__getitem__
         return [
             b"".join(map(get, parts[0])) + b"".join(map(word, parts[1])) if spaced else b"".join(map(get, parts))
             for spaced, parts in plan
         ]
 
+    def known_specials(self) -> None:
+        for text in self.known.missing(self.specials):
+            self.known.put(text, np.array([self.specials[text]], "<u4").tobytes())
+
     def decode(self, ids: bytes) -> str:
-        token = self.token
-        return b"".join([token[i] for i in np.frombuffer(ids, "<u4").tolist()]).decode(errors="replace")
+        return self.decode_all([ids])[0].decode(errors="replace")
+
+    def decode_all(self, batch: list[bytes]) -> list[bytes]:
+        """The bytes of each text's tokens: one lookup of all ids in the table of tokens."""
+        ends = np.cumsum(np.fromiter(map(len, batch), np.int64, len(batch))) // 4
+        found = self.token_bytes.take(pa.array(np.frombuffer(b"".join(batch), "<u4")))
+        cuts = np.frombuffer(found.buffers()[1], np.int32)[: len(found) + 1] if len(found) else np.zeros(1, np.int32)
+        data = found.buffers()[2].to_pybytes() if len(found) else b""
+        borders = [0, *cuts[ends].tolist()]
+        return [data[a:b] for a, b in zip(borders, borders[1:])]
 
 
 def _ragged(rows: list[list[tuple[int, int]]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -293,8 +303,10 @@ def encode_decode(docs: DataFrame, tokenizer_path: str, keep: bool = False) -> D
         own = coder(definition.value)
         n, ids_sha, text_sha, ids, decoded = [], [], [], [], []
         for group in in_groups(column(batch, "text").to_pylist()):
-            for packed in own.encode(group):
-                text = own.decode(packed)
+            encoded = own.encode(group)
+            for packed, text in zip(encoded, own.decode_all(encoded)):
+                # Ids of a text give back its bytes; what is no text would come out with replacement characters.
+                text = text.decode(errors="replace")
                 n.append(len(packed) // 4)
                 ids_sha.append(hashlib.sha256(packed).hexdigest())
                 text_sha.append(hashlib.sha256(text.encode()).hexdigest())
