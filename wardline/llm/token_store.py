@@ -7,10 +7,11 @@ A store is a folder of Parquet files with one row for each shard:
     n_docs, n_ids   documents and ids in the shard
     width           bytes of an id, 2 or 4
     payload         the ids of all documents one after the other, little endian
-    docs            document keys and numbers of ids, in order of the payload
+    docs            number of null keys; document keys in order of the payload; where each document's ids begin, and the end
     index           minimal perfect hash over the distinct keys; see ``KeyIndex``
 
-A keyed read takes one shard, a fixed number of hash probes and one slice of the payload.
+A keyed read takes one shard's row, a fixed number of probes into its index and two places in ``docs``, all read where
+they lie, and one slice of the payload.
 """
 
 from __future__ import annotations
@@ -28,14 +29,16 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wardline.llm.common import column, in_groups, map_batches, texts
+from wardline.llm.memory import Memory
 from wardline.session import partitions_for
 
 SHARD_IDS = 8 * 1024 * 1024
 PARTITION_BYTES = 24 * 1024 * 1024
-REMEMBERED_WORDS = 200_000
-REMEMBERED_STEMS = 300_000
+# Bytes of a generation of remembered words, and of stems; a worker holds two of each.
+REMEMBERED_BYTES = 24 * 1024 * 1024
 ENCODED_AT_ONCE = 4_096
 ROWS_AT_ONCE = 1_000
+MOST_KEYS = 1_000
 
 _MIX = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB], np.uint64)
 
@@ -60,15 +63,11 @@ class KeyIndex:
     LEVELS = 24
     FINGERPRINT_SEED = 1 << 20
 
-    def __init__(self, levels, rest, fingerprints, first, count):
-        self.levels, self.rest = levels, rest
+    def __init__(self, levels, before, rest, fingerprints, first, count):
+        """``before`` holds for each word of a level the bits set before it, in all levels."""
+        self.levels, self.before, self.rest = levels, before, rest
         self.fingerprints, self.first, self.count = fingerprints, first, count
-        self.before, total = [], 0
-        for bits in levels:
-            ones = np.bitwise_count(bits).astype(np.int64)
-            self.before.append(total + np.cumsum(ones) - ones)
-            total += int(ones.sum())
-        self.in_levels = total
+        self.in_levels = len(first) - len(rest)
 
     @classmethod
     def build(cls, keys: np.ndarray, first: np.ndarray, count: np.ndarray) -> KeyIndex:
@@ -82,7 +81,12 @@ class KeyIndex:
             np.bitwise_or.at(bits, at[alone] // 64, np.uint64(1) << (at[alone] % 64).astype(np.uint64))
             levels.append(bits)
             left = left[~alone]
-        index = cls(levels, np.sort(left), np.zeros(len(keys), "<u4"), np.zeros(len(keys), "<i8"), np.zeros(len(keys), "<i8"))
+        before, total = [], 0
+        for bits in levels:
+            ones = np.bitwise_count(bits).astype(np.int64)
+            before.append(total + np.cumsum(ones) - ones)
+            total += int(ones.sum())
+        index = cls(levels, before, np.sort(left), np.zeros(len(keys), "<u4"), np.zeros(len(keys), "<i8"), np.zeros(len(keys), "<i8"))
         slot = index.slots(keys)
         index.fingerprints[slot] = index.fingerprint(keys)
         index.first[slot], index.count[slot] = first, count
@@ -117,11 +121,12 @@ class KeyIndex:
 
     def to_bytes(self) -> bytes:
         head = [len(self.levels), *map(len, self.levels), len(self.rest), len(self.first)]
-        parts = [np.array([len(head), *head], "<i8"), *self.levels, self.rest.astype("<i8"), self.first, self.count, self.fingerprints]
+        parts = [np.array([len(head), *head], "<i8"), *self.levels, *self.before, self.rest.astype("<i8"), self.first, self.count, self.fingerprints]
         return b"".join(p.tobytes() for p in parts)
 
     @classmethod
-    def from_bytes(cls, data: bytes) -> KeyIndex:
+    def from_bytes(cls, data: bytes | memoryview) -> KeyIndex:
+        """The index as it lies in ``data``: nothing but the head, of a size for each level, is read or copied."""
         n = int(np.frombuffer(data, "<i8", 1)[0])
         head = np.frombuffer(data, "<i8", n, 8).tolist()
         at = 8 * (n + 1)
@@ -132,11 +137,11 @@ class KeyIndex:
             at += out.nbytes
             return out
 
-        levels = [take("<u8", k) for k in head[1 : 1 + head[0]]]
-        rest, size = head[-2], head[-1]
+        sizes, rest, size = head[1 : 1 + head[0]], head[-2], head[-1]
+        levels, before = [take("<u8", k) for k in sizes], [take("<i8", k) for k in sizes]
         rest = take("<i8", rest)
         first, count = take("<i8", size), take("<i8", size)
-        return cls(levels, rest, take("<u4", size), first, count)
+        return cls(levels, before, rest, take("<u4", size), first, count)
 
 
 class WordEncoder:
@@ -160,10 +165,7 @@ class WordEncoder:
         self.tokenizer.no_padding()
         self.kind = {2: "H", 4: "I"}[width]
         self.width = width
-        self.words: dict[str, bytes] = {}
-        self.old_words: dict[str, bytes] = {}
-        self.stems: dict[str, bytes] = {}
-        self.old_stems: dict[str, bytes] = {}
+        self.words, self.stems = Memory(REMEMBERED_BYTES), Memory(REMEMBERED_BYTES)
 
     def parts(self, word: str) -> tuple[str, str]:
         """What is encoded by itself: the word in lower case if it is ASCII, and the marks behind its last letter."""
@@ -184,33 +186,20 @@ class WordEncoder:
             packed, begin = array(self.kind, chain.from_iterable(ids)).tobytes(), 0
             for stem, own in zip(some, ids):
                 end = begin + self.width * len(own)
-                self.stems[stem] = packed[begin:end]
+                self.stems.put(stem, packed[begin:end])
                 begin = end
 
     def encode(self, batch: list[str]) -> list[bytes]:
-        """Ids of each text, packed. Memories have two generations, so words in use outlive a new beginning."""
-        if len(self.words) > REMEMBERED_WORDS:
-            self.old_words, self.words = self.words, {}
-        if len(self.stems) > REMEMBERED_STEMS:
-            self.old_stems, self.stems = self.stems, {}
-        words, stems, old_words, old_stems = self.words, self.stems, self.old_words, self.old_stems
+        """Ids of each text, packed."""
+        self.words.turn()
+        self.stems.turn()
         split = [self.GAP.split(t) if self.NO_GAPS(t) else t.split() for t in batch]
-        new = {}
-        for w in set().union(*split).difference(words):
-            if (known := old_words.get(w)) is not None:
-                words[w] = known
-            else:
-                new[w] = self.parts(w)
-        missing = []
-        for p in {p for parts in new.values() for p in parts}.difference(stems):
-            if (known := old_stems.get(p)) is not None:
-                stems[p] = known
-            else:
-                missing.append(p)
-        self._learn(missing)
+        new = {w: self.parts(w) for w in self.words.missing(set().union(*split))}
+        self._learn(self.stems.missing({p for parts in new.values() for p in parts}))
+        stems = self.stems.young
         for w, (stem, marks) in new.items():
-            words[w] = stems[stem] + stems[marks]
-        get = words.__getitem__
+            self.words.put(w, stems[stem] + stems[marks])
+        get = self.words.young.__getitem__
         return [b"".join(map(get, ws)) for ws in split]
 
 
@@ -240,7 +229,7 @@ def _shard(part: int, shard: int, width: int, ids: list, null: list, encoded: li
     row = {
         "part": part, "shard": shard, "first_doc": int(known[0]) if len(known) else None,
         "last_doc": int(known[-1]) if len(known) else None, "n_docs": len(keys), "n_ids": int(lengths.sum()), "width": width,
-        "payload": b"".join(encoded), "docs": np.array([int((~there).sum()), *keys, *lengths], "<i8").tobytes(), "index": index.to_bytes(),
+        "payload": b"".join(encoded), "docs": np.array([int((~there).sum()), *keys, 0, *np.cumsum(lengths)], "<i8").tobytes(), "index": index.to_bytes(),
     }
     types = {"part": pa.int32(), "shard": pa.int32(), "width": pa.int32(), "payload": pa.binary(), "docs": pa.binary(), "index": pa.binary()}
     return {k: pa.array([v], types.get(k, pa.int64())) for k, v in row.items()}
@@ -298,31 +287,52 @@ def shard_starts(spark: SparkSession, path: str) -> DataFrame:
     return sizes.select("part", "shard", F.coalesce(F.sum("n_ids").over(order), F.lit(0)).alias("start"))
 
 
-def _read_docs(row: dict, kept: np.ndarray | None = None) -> dict:
-    """Documents of a shard through its index; ``kept`` are the keys wanted, else all."""
-    data = np.frombuffer(row["docs"], "<i8")
-    n, nulls = row["n_docs"], int(data[0])
-    keys, lengths = data[1 : n + 1], data[n + 1 :]
-    ends = np.cumsum(lengths)
-    wanted = np.unique(keys[nulls:]) if kept is None else np.unique(kept)
-    first, count = KeyIndex.from_bytes(row["index"]).find(wanted)
-    numbers = [np.arange(nulls)] if kept is None else []
-    numbers += [np.arange(f, f + c) for f, c in zip(first.tolist(), count.tolist())]
-    at = np.concatenate(numbers) if numbers else np.zeros(0, np.int64)
-    ids = np.frombuffer(row["payload"], f"<u{row['width']}")
-    slices = [ids[ends[i] - lengths[i] : ends[i]].astype("<u4").tobytes() for i in at.tolist()]
-    names = pa.array([None if i < nulls else int(keys[i]) for i in at.tolist()], pa.int64())
-    return {"doc_id": names, "offset": ends[at] - lengths[at], "n_tokens": lengths[at], "ids": slices}
+class Shard:
+    """A shard's row for keyed reads; its parts are looked into where they lie."""
+
+    def __init__(self, n_docs: int, width: int, payload: bytes | memoryview, docs: bytes | memoryview, index: bytes | memoryview):
+        data = np.frombuffer(docs, "<i8")
+        self.keys, self.starts, self.n_null = data[1 : n_docs + 1], data[n_docs + 1 :], int(data[0])
+        self.ids = np.frombuffer(payload, f"<u{width}")
+        self.index = KeyIndex.from_bytes(index)
+
+    @classmethod
+    def of(cls, batch: pa.RecordBatch, row: int) -> Shard:
+        payload, docs, index = (memoryview(column(batch, c)[row].as_buffer()) for c in ("payload", "docs", "index"))
+        return cls(column(batch, "n_docs")[row].as_py(), column(batch, "width")[row].as_py(), payload, docs, index)
+
+    def numbers(self, keys: np.ndarray) -> np.ndarray:
+        """The documents of distinct keys, by their numbers in the shard."""
+        first, count = self.index.find(keys)
+        here = count > 0
+        first, count = first[here], count[here]
+        return np.repeat(first - np.cumsum(count) + count, count) + np.arange(count.sum())
+
+    def read(self, number: int) -> np.ndarray:
+        """The ids of a document: one slice of the payload."""
+        return self.ids[self.starts[number] : self.starts[number + 1]].astype("<u4")
+
+
+def _read_docs(shard: Shard, wanted: np.ndarray | None = None) -> dict:
+    """Documents of a shard through its index; ``wanted`` are distinct keys, else all documents."""
+    if wanted is None:
+        at = np.concatenate([np.arange(shard.n_null), shard.numbers(np.unique(shard.keys[shard.n_null :]))])
+    else:
+        at = shard.numbers(wanted)
+    names = pa.array(shard.keys[at], pa.int64(), mask=at < shard.n_null)
+    slices = [shard.read(i).tobytes() for i in at.tolist()]
+    return {"doc_id": names, "offset": shard.starts[at], "n_tokens": shard.starts[at + 1] - shard.starts[at], "ids": slices}
 
 
 def read_store(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 and the ids (packed unsigned 32-bit) of every document, found through the index."""
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for row in batch.to_pylist():
-            found = _read_docs(row)
+        for k in range(batch.num_rows):
+            found = _read_docs(Shard.of(batch, k))
+            part, shard = column(batch, "part")[k].as_py(), column(batch, "shard")[k].as_py()
             out = {
-                "part": pa.array([row["part"]] * len(found["ids"]), pa.int32()), "shard": pa.array([row["shard"]] * len(found["ids"]), pa.int32()),
+                "part": pa.array([part] * len(found["ids"]), pa.int32()), "shard": pa.array([shard] * len(found["ids"]), pa.int32()),
                 "doc_id": found["doc_id"], "offset": pa.array(found["offset"], pa.int64()), "n_tokens": pa.array(found["n_tokens"], pa.int64()),
                 "ids_crc32": pa.array([zlib.crc32(x) for x in found["ids"]], pa.int64()),
             }
@@ -342,17 +352,23 @@ def read_store(spark: SparkSession, path: str, with_ids: bool = True) -> DataFra
 
 
 def lookup(spark: SparkSession, path: str, doc_ids: list[int]) -> DataFrame:
-    """doc_id and ids of a short list of keys; only shards whose range holds one of them are read."""
+    """doc_id and ids of up to ``MOST_KEYS`` keys; only shards whose range holds one of them are read.
+
+    A key that is not in the store gives no row, one that is asked for twice gives its documents once, one that several
+    documents have gives a row for each. For more keys, join ``read_store``.
+    """
     if not doc_ids:
         return spark.createDataFrame([], "doc_id bigint, ids binary")
-    wanted = np.array(sorted(doc_ids), np.int64)
+    if len(set(doc_ids)) > MOST_KEYS:
+        raise ValueError(f"more than {MOST_KEYS} keys: join read_store instead")
+    wanted = np.unique(np.array(doc_ids, np.int64))
     ranges = [(F.col("first_doc") <= int(k)) & (F.col("last_doc") >= int(k)) for k in set(doc_ids)]
     some = ranges[0]
     for r in ranges[1:]:
         some = some | r
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [_read_docs(row, wanted) for row in batch.to_pylist()]
+        found = [_read_docs(Shard.of(batch, k), wanted) for k in range(batch.num_rows)]
         return pa.RecordBatch.from_pydict({
             "doc_id": pa.array([x for f in found for x in f["doc_id"].to_pylist()], pa.int64()),
             "ids": pa.array([x for f in found for x in f["ids"]], pa.binary()),
