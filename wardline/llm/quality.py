@@ -11,14 +11,16 @@ from pyspark.sql import functions as F
 
 from wardline.llm.common import WORD_GAP, WORD_SEPARATORS, let, store
 from wardline.llm.skew import semi_join
+from wardline.session import lookup_side
 
 SYMBOLS = "#*$%&|<>"  # fixed value
 REPEAT_WINDOW = 5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 
-# A line in more distinct texts of one host than this is taken for boilerplate.
-LINE_LIMIT = 100
+# A line in more documents of a host than this percentage of them, and than the floor, is taken for boilerplate.
+LINE_PERCENT = 5
+LINE_FLOOR = 10
 # A document with fewer words left than this percentage is rejected.
 LEAST_LEFT_PERCENT = 20
 
@@ -82,42 +84,71 @@ def _host(docs: DataFrame) -> Column:
     return F.when(F.col("source").isNull(), "null").otherwise(F.concat(F.lit("host "), F.col("source")))
 
 
+def line_key(line: Column) -> Column:
+    """The first 60 bits of a line's MD5: stands for the line, and orders lines as if at random."""
+    return F.conv(F.substring(F.md5(line), 1, 15), 16, 10).cast("bigint")
+
+
 def line_rows(docs: DataFrame) -> DataFrame:
-    """host, text (a hash), place, line (a hash) and words: a row for each line with a word of each row."""
+    """host, text (a hash), place, line (a key) and words: a row for each line with a word of each row."""
     lines = F.split(F.coalesce("text", F.lit("")), "\n", -1)
     rows = docs.select(
         _host(docs).alias("host"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text"),
         F.posexplode(F.transform(lines, normal_line)).alias("place", "line"),
     ).where("line <> ''")
-    return rows.select("host", "text", "place", F.xxhash64("line").alias("line"), F.size(F.split("line", " ")).alias("words"))
+    return rows.select("host", "text", "place", line_key(F.col("line")).alias("line"), F.size(F.split("line", " ")).alias("words"))
 
 
-def frequent_lines(docs: DataFrame, line_limit: int = LINE_LIMIT) -> tuple[DataFrame, DataFrame]:
-    """(host, line, n) of lines in more than ``line_limit`` distinct texts of a host, and the lines of each text.
+def removals(
+    docs: DataFrame,
+    line_percent: int = LINE_PERCENT,
+    line_floor: int = LINE_FLOOR,
+    least_left_percent: int = LEAST_LEFT_PERCENT,
+) -> DataFrame:
+    """host, text (a hash), words taken out and lines (keys) of each text that holds boilerplate.
 
-    Exact copies of a text count once: their lines meet in their places, on the map side first. A line common
-    to a third of all documents is counted on the map side too, so it costs a row for each task. ``words`` of
-    a text's line is that of all places where it stands.
+    A line is boilerplate if more than ``line_percent`` of a host's documents hold it, and more than ``line_floor``.
+    Documents count as follows. Equal texts are one document. A text with less than ``least_left_percent`` of its words
+    in lines of its own has the rest in common with others: it is a copy or nothing but boilerplate. Such texts are
+    one document if the smallest of their shared lines is the same. Near copies have it in common, but for those
+    few that were edited there, so they do not make each other's lines boilerplate.
     """
+    # Exact copies of a text meet in their places, on the map side first, and count once; so does a line that most rows hold.
     once = line_rows(docs).groupBy("host", "text", "line", "place").agg(F.max("words").alias("words"))
     lines = store(once.groupBy("host", "text", "line").agg(F.sum("words").alias("words")), "text-lines")
     counts = lines.groupBy("host", "line").agg(F.count("*").alias("n"))
-    return store(counts.where(F.col("n") > line_limit), "frequent-lines"), lines
+    held = store(semi_join(lines, store(counts.where("n > 1"), "line-counts"), ["host", "line"], "n"), "shared-lines")
+    both = lines.select("host", "text", "words", F.lit(0).alias("shared"), F.lit(None).cast("long").alias("line")).unionByName(
+        held.select("host", "text", F.lit(0).alias("words"), F.col("words").alias("shared"), "line")
+    )
+    of_text = both.groupBy("host", "text").agg(F.sum("words").alias("all"), F.sum("shared").alias("shared"), F.min("line").alias("least"))
+    copied = 100 * (F.col("all") - F.col("shared")) < least_left_percent * F.col("all")
+    # What a text counts as: the texts themselves (0), or all those of one smallest shared line (1).
+    kinds = store(of_text.select("host", "text", copied.cast("int").alias("copied"), F.when(copied, F.col("least")).otherwise(F.col("text")).alias("kind")), "kinds")
+    sizes = kinds.groupBy("host", "copied", "kind").agg(F.count("*").alias("n")).groupBy("host").agg(F.count("*").alias("documents"))
+    counted = held.join(kinds, ["host", "text"]).groupBy("host", "line", "copied", "kind").agg(F.count("*").alias("n"))
+    counted = counted.groupBy("host", "line").agg(F.count("*").alias("documents_with"), F.sum("n").alias("n"))
+    limit = F.greatest(F.lit(100 * line_floor), line_percent * F.col("documents"))
+    frequent = counted.join(lookup_side(store(sizes, "host-sizes")), "host").where(100 * F.col("documents_with") > limit)
+    frequent = store(frequent.select("host", "line", "n"), "frequent-lines")
+    gone = semi_join(held, frequent, ["host", "line"], "n").groupBy("host", "text")
+    return store(gone.agg(F.sum("words").alias("words"), F.collect_set("line").alias("lines")), "line-removals")
 
 
 def judge(
     docs: DataFrame,
-    line_limit: int = LINE_LIMIT,
+    line_percent: int = LINE_PERCENT,
+    line_floor: int = LINE_FLOOR,
     least_left_percent: int = LEAST_LEFT_PERCENT,
 ) -> DataFrame:
     """doc_id, n_words, the base counts, base_failed, n_boilerplate_words and kept of every row.
 
     A document is kept if it passes the base rules and at least ``least_left_percent`` of its words are
-    left once lines over the limit are taken out. Null text counts as empty; empty
-    texts fail. Repeated rows get a row each and count as one text; null sources are one host; other
-    columns are not looked at.
+    left once boilerplate (see ``removals``) is taken out. Null text counts as empty; empty texts fail. Repeated rows
+    get a row each and count as one text; null sources are one host; empty tables give no rows; other columns
+    are not looked at.
     """
-    _, gone = removals(docs, line_limit)
+    gone = lookup_side(removals(docs, line_percent, line_floor, least_left_percent).select("host", "text", "words"))
     base = docs.select(
         "doc_id", _host(docs).alias("host"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text"),
         *[c.alias(name) for name, c in base_columns(F.col("text")).items()],
@@ -126,7 +157,7 @@ def judge(
         "doc_id", "host", "text", F.size("_words").cast("long").alias("n_words"), "word_chars", "n_symbols",
         "n_dup_lines", repeated_words(F.col("_words")).cast("long").alias("n_repeat_words"),
     )
-    joined = base.join(gone.select("host", "text", "words"), ["host", "text"], "left")
+    joined = base.join(gone, ["host", "text"], "left")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     removed = F.coalesce("words", F.lit(0)).cast("long")
     left = F.col("n_words") - removed
@@ -137,59 +168,30 @@ def judge(
     )
 
 
-def removals(docs: DataFrame, line_limit: int = LINE_LIMIT) -> tuple[DataFrame, DataFrame]:
-    """Lines over the limit, and for each text that has some: host, text, words taken out, lines (hashes)."""
-    frequent, lines = frequent_lines(docs, line_limit)
-    gone = semi_join(lines, frequent, ["host", "line"], "n").groupBy("host", "text")
-    return frequent, store(gone.agg(F.sum("words").alias("words"), F.collect_set("line").alias("lines")), "line-removals")
-
-
-def removals_of_unlike(docs: DataFrame, line_limit: int = LINE_LIMIT, least_left_percent: int = LEAST_LEFT_PERCENT) -> DataFrame:
-    """Like the second of ``removals``, but near copies do not make their lines boilerplate.
-
-    A text that would be depleted by lines in more than half of ``line_limit`` texts of its host is either a
-    near copy of others or boilerplate only. Such texts count for a line by the smallest and the largest of
-    their shared lines: near copies have these in common, but for a few whose edits lie there. All others count
-    one each, so a line goes if more than ``line_limit`` texts that are unlike each other hold it. No line goes
-    that ``removals`` would leave.
-    """
-    shared, lines = frequent_lines(docs, line_limit // 2)
-    held = store(semi_join(lines, shared, ["host", "line"], "n"), "shared-lines")
-    both = lines.select("host", "text", "words", F.lit(0).alias("shared"), F.lit(None).cast("long").alias("line")).unionByName(
-        held.select("host", "text", F.lit(0).alias("words"), F.col("words").alias("shared"), "line")
-    )
-    of_text = both.groupBy("host", "text").agg(
-        F.sum("words").alias("all"), F.sum("shared").alias("shared"), F.xxhash64(F.min("line"), F.max("line")).alias("like")
-    )
-    depleted = of_text.where(100 * (F.col("all") - F.col("shared")) < least_left_percent * F.col("all"))
-    depleted = store(depleted.select("host", "text", "like"), "depleted-texts")
-    unlike = held.join(depleted, ["host", "text"], "left").withColumn("like", F.coalesce("like", "text"))
-    counts = unlike.groupBy("host", "line", "like").agg(F.count("*").alias("n"))
-    counts = counts.groupBy("host", "line").agg(F.count("*").alias("unlike"), F.sum("n").alias("n"))
-    frequent = store(counts.where(F.col("unlike") > line_limit), "unlike-lines")
-    gone = semi_join(held, frequent, ["host", "line"], "n").groupBy("host", "text")
-    return store(gone.agg(F.sum("words").alias("words"), F.collect_set("line").alias("lines")), "line-removals")
-
-
-def clean(docs: DataFrame, line_limit: int = LINE_LIMIT, least_left_percent: int = LEAST_LEFT_PERCENT) -> DataFrame:
-    """The kept rows of ``docs`` with all their columns, without the lines over the limit.
+def clean(
+    docs: DataFrame,
+    line_percent: int = LINE_PERCENT,
+    line_floor: int = LINE_FLOOR,
+    least_left_percent: int = LEAST_LEFT_PERCENT,
+) -> DataFrame:
+    """The rows of ``docs`` that ``judge`` keeps with all their columns, without boilerplate.
 
-    Lines are counted in texts that are unlike each other, so rows that ``judge`` rejects only for lines shared
-    with near copies stay whole: which of them stays is for deduplication to say. The text changes only where
-    lines go; ``n_chars``, if there, follows it.
+    Null texts count as empty and go; the text changes only where lines go; ``n_chars``, if there, follows it. Texts are not
+    shuffled where the table of removals is small enough to be broadcast.
     """
-    gone = removals_of_unlike(docs, line_limit, least_left_percent)
+    gone = removals(docs, line_percent, line_floor, least_left_percent)
     names = docs.columns
     text = F.coalesce("text", F.lit(""))
-    base = docs.withColumn("_q_host", _host(docs)).withColumn("_q_text", F.xxhash64(text)).withColumn("_q_words", words_of(text))
+    base = docs.withColumn("_q_words", words_of(text))
     n = F.size("_q_words")
     repeats = repeated_words(F.col("_q_words"))
     base = base.where((n >= MIN_WORDS) & (100 * repeats <= MAX_REPEAT_PERCENT * n)).withColumn("_q_n", n).drop("_q_words")
+    base = base.withColumn("_q_host", _host(docs)).withColumn("_q_text", F.xxhash64(text))
     gone = gone.select(F.col("host").alias("_q_host"), F.col("text").alias("_q_text"), F.col("words").alias("_q_gone"), F.col("lines").alias("_q_lines"))
-    joined = base.join(gone, ["_q_host", "_q_text"], "left")
+    joined = base.join(lookup_side(gone), ["_q_host", "_q_text"], "left")
     left = F.col("_q_n") - F.coalesce("_q_gone", F.lit(0))
     joined = joined.where(100 * left >= least_left_percent * F.col("_q_n"))
-    stays = F.filter(F.split("text", "\n", -1), lambda x: ~F.array_contains("_q_lines", F.xxhash64(normal_line(x))))
+    stays = F.filter(F.split("text", "\n", -1), lambda x: ~F.array_contains("_q_lines", line_key(normal_line(x))))
     new = F.when(F.col("_q_lines").isNull(), F.col("text")).otherwise(F.array_join(stays, "\n"))
     out = joined.withColumn("text", new)
     if "n_chars" in names:
