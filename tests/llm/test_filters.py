@@ -123,6 +123,8 @@ def secret_docs(spark):
         f"client_id=service7 then {value} far", f"only {value} here", "client_id=service7 alone",
         f"https://db.internal:5432/x user_id: bob77 {'pad ' * 40} {value}", f"https://db.internal/x {'pad ' * 200} {value}",
         "apikey:" + "q" * 5 + " api_key='" + "r" * 6, "secret==" + "=" * 9, "postgres://u:pw@host/db password=longenough1",
+        "user_name: alice, docs at https://example.org/page", "commit 0123456789abcdef0123456789abcdef01234567 at https://example.org/page",
+        "call redis://me:hunter2@cache.internal:6379 now",
     ]
     return spark.createDataFrame([(3000 + i, t, "s", "en", 0) for i, t in enumerate(texts)], "doc_id bigint, text string, source string, lang string, n_chars bigint")
 
@@ -132,10 +134,29 @@ def test_weak_parts_are_reported_next_to_their_complement(spark, odd_docs, no_do
     assert found[0].n_assign == 2 and found[0].n_hex == 1 and found[1].n_access == 1
     assert found[2].n_linked == 2 and found[3].n_linked == 0 and found[4].n_linked == 0
     assert found[5].n_linked >= 2 and found[6].n_linked == 0 and found[9].n_linked == 1
+    # Without a secret near, and an endpoint without an identifier: nothing.
+    assert found[10].n_linked == 0 and found[11].n_linked == 0 and found[12].n_linked == 1
     assert secret_scan.scan(odd_docs).count() == 8 and secret_scan.scan(no_docs).count() == 0
     assert "Python" not in plan(secret_scan.scan(odd_docs)) and "Arrow" not in plan(quality.judge(odd_docs))
 
 
+def test_texts_of_many_matches(spark):
+    """Spans and masks across the borders of blocks; 200,000 matches in one text."""
+    n = 1_700
+    few = [f"é{i} token=secret{i:06d}" if i % 3 else f"user_id=me{i:05d} AKIA{i:016d}" for i in range(n)]
+    many = " ".join(["token=abcdef12"] * 200_000)
+    docs = spark.createDataFrame([(1, "\n".join(few)), (2, many)], "doc_id bigint, text string")
+    found = {r.doc_id: r for r in secret_scan.scan(docs).collect()}
+    assert found[2].n_assign == 200_000 and found[2].spans.startswith("assign:0:14,assign:15:29,")
+    spans = [s.split(":") for s in found[1].spans.split(",")]
+    text = "\n".join(few)
+    assert len(spans) == found[1].n_assign + found[1].n_access + found[1].n_linked == n + len(few[::3])
+    assert all(text[int(a) : int(b)].startswith({"assign": "token=", "access": "AKIA", "identifier": "user_id="}[k]) for k, a, b in spans)
+    masked = {r.doc_id: r.text for r in secret_scan.mask(docs).collect()}
+    assert masked[2] == " ".join(["<assign>"] * 200_000)
+    assert masked[1] == "\n".join(f"é{i} <assign>" if i % 3 else "<identifier> <access>" for i in range(n))
+
+
 def test_long_parts_are_taken_whole(spark, fresh_dir):
     draw = random.Random(8)
     value = lambda k: "aB3" + "".join(draw.choice("ABCDefgh0123+/") for _ in range(k - 3))
@@ -202,11 +223,10 @@ def test_leaks_equal_brute_force(spark, blocks):
     want = {}
     for item_id, item in items:
         ws = decontaminate.words(item or "")
-        if len(ws) < decontaminate.LEAST_WORDS:
-            continue
+        most = int(0.2 * len(ws)) if len(ws) >= decontaminate.EXACT_BELOW else 0
         for doc_id, text in docs:
             distance = brute.closest_passage(ws, decontaminate.words(text or ""))
-            if distance <= int(0.2 * len(ws)):
+            if ws and distance <= most:
                 want[doc_id, item_id] = distance
     assert {(r.doc_id, r.item_id): r.distance for r in got} == want and len(got) == len(want) > 10
     text = dict(docs)
@@ -214,6 +234,25 @@ def test_leaks_equal_brute_force(spark, blocks):
         assert decontaminate.words(text[r.doc_id][r.start : r.end]) == decontaminate.words(text[r.doc_id])[r.start_word : r.end_word]
 
 
+def test_short_items_and_scripts_without_spaces(spark):
+    """Items of any length, against brute force without a floor; all passages of a pair."""
+    han = "这是一个没有空格的测试句子它很长"
+    items = [(1, "Paris"), (3, "the red fox"), (7, "one two three four five six seven"), (9, han), (10, "ห้องสมุดเปิดทุกวัน")]
+    docs = [
+        (1, "From paris, to PARIS."), (2, "parisian"), (3, "the red, fox and the red dog"), (4, "one two three four FIVE six seven eight"),
+        (5, "one two three four five six 7"), (6, f"前面的文字{han[:5]}错{han[6:]}后面"), (7, han[:8]), (8, "วันนี้ห้องสมุดเปิดทุกวันครับ"),
+    ]
+    frames = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    want = {
+        (d, i): distance for i, item in items for d, text in docs
+        if (distance := brute.closest_passage(ws := decontaminate.words(item), decontaminate.words(text))) <= (len(ws) // 5 if len(ws) >= 8 else 0)
+    }
+    found = decontaminate.leaks(*frames).collect()
+    assert {(r.doc_id, r.item_id): r.distance for r in found} == want and set(want) == {(1, 1), (3, 3), (4, 7), (6, 9), (8, 10)}
+    every = [(r.doc_id, r.start, r.end, r.closest) for r in decontaminate.passages(*frames).where("item_id = 1").collect()]
+    assert sorted(every) == [(1, 5, 10, True), (1, 15, 20, False)]
+
+
 def test_leaking_documents_go(spark, odd_docs, no_docs):
     benchmark = spark.createDataFrame([(1, "The SAME text of ten words stands here twice, over now!")], "item_id bigint, text string")
     kept = decontaminate.without_leaks(odd_docs, benchmark)

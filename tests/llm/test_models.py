@@ -82,3 +82,7 @@ def test_toxicity_of_odd_rows(spark, odd_docs, no_docs):
     empty = toxicity.fit(no_docs, labels.limit(0))
     assert {round(r.score, 3) for r in toxicity.score(odd_docs, empty).collect()} == {0.018}
     assert toxicity.score(no_docs, model).count() == 0
+
+
+def test_numerals_are_no_letters():
+    assert language_id.words("½ ² Ⅷ ① x² 12") == ["x²"]

@@ -191,21 +191,25 @@ _WEAK_SQL = " UNION ALL ".join(
     _spans_sql(len(secret_scan.BASE_KINDS) + i, k, p, 0, _STRONG if role == "secret" else "TRUE")
     for i, (k, role, p) in enumerate(secret_scan.WEAK_KINDS)
 )
-_ROLE_SQL = " ".join(
-    f"WHEN '{k}' THEN '{r}'"
-    for k, r in (secret_scan.BASE_ROLES | {k: r for k, r, _ in secret_scan.WEAK_KINDS}).items()
+_ROLE_SQL = " ".join(f"WHEN {rank} THEN '{role}'" for rank, role in enumerate(secret_scan.ROLES))
+_NEAR_SQL = (
+    "EXISTS (SELECT 1 FROM outer_part b WHERE a.r = b.r AND b.role = '{}' AND abs(a.s - b.s) <= "
+    f"{secret_scan.REACH})"
+)
+_NEEDS_SQL = " OR ".join(
+    " AND ".join([f"a.role = '{role}'", *[_NEAR_SQL.format(r) for r in sorted(needed)]])
+    for role, choices in secret_scan.NEEDS.items() for needed in choices
 )
 _SECRET_SQL = f"""
 WITH doc AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
 base AS (SELECT * FROM ({_BASE_SQL}) WHERE good),
 part AS (SELECT * FROM base UNION ALL SELECT * FROM ({_WEAK_SQL}) WHERE good),
 outer_part AS (
-  SELECT *, CASE kind {_ROLE_SQL} END AS role
+  SELECT *, CASE rank {_ROLE_SQL} END AS role
   FROM (SELECT *, max(e) OVER (PARTITION BY r ORDER BY s, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM part)
   WHERE rank < {len(secret_scan.BASE_KINDS)} OR before IS NULL OR s >= before
 ), extra AS (
-  SELECT r, rank, kind, s, e FROM outer_part a WHERE rank >= {len(secret_scan.BASE_KINDS)} AND EXISTS (
-    SELECT 1 FROM outer_part b WHERE a.r = b.r AND a.role <> b.role AND abs(a.s - b.s) <= {secret_scan.REACH})
+  SELECT r, rank, kind, s, e FROM outer_part a WHERE rank >= {len(secret_scan.BASE_KINDS)} AND ({_NEEDS_SQL})
 ), of_base AS (
   SELECT r, string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank) AS t, count(*) FILTER (WHERE kind = 'assign') AS n_assign,
     count(*) FILTER (WHERE kind = 'access') AS n_access, count(*) FILTER (WHERE kind = 'hex') AS n_hex FROM base GROUP BY r
@@ -224,10 +228,24 @@ WITH doc AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce('host ' || source, 'null') AS host, coalesce(text, '') AS text,
     regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
 ), line AS (
-  SELECT r, host, text, trim(regexp_replace(lower(l), '[\\x20\\x09-\\x0D]+', ' ', 'g')) AS line
-  FROM (SELECT r, host, text, unnest(string_split(text, chr(10))) AS l FROM doc)
+  SELECT r, host, text, place, trim(regexp_replace(lower(l), '[\\x20\\x09-\\x0D]+', ' ', 'g')) AS line
+  FROM (SELECT r, host, text, unnest(string_split(text, chr(10))) AS l, generate_subscripts(string_split(text, chr(10)), 1) AS place FROM doc)
+), held_line AS (
+  SELECT host, text, line, sum(words) AS words
+  FROM (SELECT DISTINCT host, text, line, place, len(string_split(line, ' ')) AS words FROM line WHERE line <> '') GROUP BY host, text, line
+), shared AS (
+  SELECT * FROM held_line SEMI JOIN (SELECT host, line FROM held_line GROUP BY host, line HAVING count(*) > 1) USING (host, line)
+), kind AS (
+  SELECT host, text, CASE WHEN 100 * ("all" - coalesce(shared, 0)) < {quality.LEAST_LEFT_PERCENT} * "all"
+    THEN 'like ' || least ELSE 'text ' || text END AS kind
+  FROM (SELECT host, text, sum(words) AS "all" FROM held_line GROUP BY host, text)
+    LEFT JOIN (SELECT host, text, sum(words) AS shared, min(('0x' || substr(md5(line), 1, 15))::BIGINT) AS least FROM shared GROUP BY host, text)
+    USING (host, text)
+), host_size AS (
+  SELECT host, count(DISTINCT kind) AS documents FROM kind GROUP BY host
 ), frequent AS (
-  SELECT host, line FROM line WHERE line <> '' GROUP BY host, line HAVING count(DISTINCT text) > {quality.LINE_LIMIT}
+  SELECT host, line FROM shared JOIN kind USING (host, text) JOIN host_size USING (host) GROUP BY host, line
+  HAVING 100 * count(DISTINCT kind) > greatest(100 * {quality.LINE_FLOOR}, {quality.LINE_PERCENT} * any_value(documents))
 ), gone AS (
   SELECT r, sum(len(string_split(line, ' '))) AS words FROM line SEMI JOIN frequent USING (host, line) GROUP BY r
 ), win AS (

@@ -1,7 +1,7 @@
 """Benchmark items in documents, within an error budget: pigeonhole pieces, then Myers' bit-parallel distance.
 
-Texts are compared as sequences of lower-case words. An item of n words may differ from a passage by
-k = floor(rate * n) inserted, deleted or replaced words. Cut into k + 1 pieces, at least one piece
+Texts are compared as sequences of lower-case words; in scripts without spaces every character is a word. An item of n words
+may differ from a passage by k = floor(rate * n) inserted, deleted or replaced words, a short one by none. Cut into k + 1 pieces, at least one piece
 of the item then stands unchanged in the passage. Pieces are found by rolling hashes over word ids; around
 each hit the whole item is compared, one machine word of bits for each column of the distance matrix.
 """
@@ -22,12 +22,14 @@ from wardline.llm.substring_dedup import text_key
 from wardline.session import lookup_side, measured_bytes
 
 ERROR_RATE = 0.2
-# Items of fewer words say too little to call a match a leak.
-LEAST_WORDS = 8
+# Items of fewer words have to stand there exactly: one of few words with an error says too little to be called a leak.
+EXACT_BELOW = 8
 # Text of items that one pass over the documents looks for; more items take more passes.
 BLOCK_BYTES = 32 * 1024 * 1024
 
-WORD = re.compile(r"[^\W_]+")
+# Fixed value: Thai to Tibetan, Burmese, Khmer, kana and Han, which are written without spaces.
+DENSE = "\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3041-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+WORD = re.compile(rf"[{DENSE}]|[^\W_{DENSE}]+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -99,18 +101,18 @@ class Pattern:
 class Benchmark:
     """Pieces and patterns of a block of items."""
 
-    def __init__(self, items: list[tuple[int, str]], rate: float, least_words: int):
+    def __init__(self, items: list[tuple[int, str]], rate: float, exact_below: int):
         self.ids: dict[str, int] = {}
         self.items: list[tuple[int, Pattern, int]] = []
         by_length: dict[int, list[tuple[np.ndarray, int, int]]] = defaultdict(list)
         seen: dict[tuple[str, ...], int] = {}
         for item_id, text in items:
             ws = tuple(words(text))
-            if len(ws) >= max(least_words, 1):
+            if ws:
                 seen[ws] = min(item_id, seen.get(ws, item_id))
         for ws, item_id in seen.items():
             own = [self.ids.setdefault(w, len(self.ids) + 1) for w in ws]
-            k = int(rate * len(own))
+            k = int(rate * len(own)) if len(own) >= exact_below else 0
             for offset, length in pieces(len(own), k):
                 by_length[length].append((np.array(own[offset : offset + length]), len(self.items), offset))
             self.items.append((item_id, Pattern(own), k))
@@ -138,8 +140,12 @@ class Benchmark:
             out.append(np.column_stack([np.repeat(place[hit], n), owners[row]]))
         return np.concatenate(out)
 
-    def search(self, batch: list[str]) -> list[tuple[int, int, int, int, int]]:
-        """(text number, item_id, distance, first word, word after the last) of the closest passage of each pair."""
+    def search(self, batch: list[str]) -> list[tuple[int, int, int, int, int, bool]]:
+        """(text number, item_id, distance, first word, word after the last, closest) of each passage of each pair.
+
+        Places an item may stand at that overlap are one passage, the closest in them; ``closest`` marks the first
+        of the closest ones of a pair.
+        """
         get = self.ids.get
         split = [words(t) for t in batch]
         ends = np.cumsum([len(ws) + 1 for ws in split])
@@ -166,19 +172,26 @@ class Benchmark:
                 text = flat[begin[d] + low : min(begin[d] + high, ends[d] - 1)].tolist()
                 if best := pattern.best(text, k):
                     found.append((best[0], low + best[1], low + best[2]))
-            if found:
-                out.append((d, item_id, *min(found)))
+            out += [(d, item_id, *f, f == min(found)) for f in found]
         return out
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, least_words: int = LEAST_WORDS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """doc_id, item_id, distance, start_word, end_word, start, end: the closest passage of each pair within budget.
+def leaks(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, exact_below: int = EXACT_BELOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """doc_id, item_id, distance, start_word, end_word, start, end: the closest of the ``passages`` of each pair.
+
+    Nulls, ties, repeated rows and empty tables as there.
+    """
+    return passages(docs, benchmark, rate, exact_below, block_bytes).where("closest").drop("closest")
+
+
+def passages(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, exact_below: int = EXACT_BELOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """doc_id, item_id, distance, start_word, end_word, start, end, closest: all passages of each pair within budget.
 
-    ``start`` and ``end`` are code points, end exclusive; the distance is in words. Null texts and items, and
-    items of fewer than ``least_words`` words, match nothing. Items of equal words count as the one
-    with the smallest item_id. Repeated rows of documents give repeated rows. Other columns are not
-    looked at. The benchmark's own size decides how many passes are made: one for each ``block_bytes`` of its
-    text, each with its own broadcast, so a benchmark of any size is searched whole.
+    ``start`` and ``end`` are code points, end exclusive; the distance is in words. ``closest`` marks one passage of a
+    pair, the first of equals. Null texts and items, and those without words, match nothing. Items of equal words count as
+    the one with the smallest item_id. Repeated rows of documents give repeated rows. Empty tables give no rows. Other
+    columns are not looked at. The benchmark's own size decides how many passes are made: one for each ``block_bytes`` of
+    its text, each with its own broadcast, so a benchmark of any size is searched whole.
     """
     spark = docs.sparkSession
     rows = texts(docs).where("text <> ''")
@@ -186,7 +199,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, least
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text").where("item_id IS NOT NULL AND text IS NOT NULL")
     items = items.groupBy("text").agg(F.min("item_id").alias("item_id"))
     blocks = max(1, -(-measured_bytes(items) // block_bytes))
-    schema = f"doc_id {kind}, item_id bigint, distance int, start_word bigint, end_word bigint, start bigint, end bigint"
+    schema = f"doc_id {kind}, item_id bigint, distance int, start_word bigint, end_word bigint, start bigint, end bigint, closest boolean"
 
     def passed(block: int) -> DataFrame:
         some = items.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block)
@@ -194,16 +207,18 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, least
         number = uuid.uuid4().hex
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            own = _prepared(number, found.value, rate, least_words)
+            own = _prepared(number, found.value, rate, exact_below)
             ids, out, at = column(batch, "doc_id").to_pylist(), [], 0
             for group in in_groups(column(batch, "text").to_pylist()):
-                for d, item_id, distance, first, last in own.search(group):
-                    places = [m.span() for m in WORD.finditer(_as_lower(group[d]))]
-                    out.append((ids[at + d], item_id, distance, first, last, places[first][0], places[last - 1][1]))
+                seen, places = -1, []
+                for d, item_id, distance, first, last, closest in own.search(group):
+                    if d != seen:
+                        seen, places = d, [m.span() for m in WORD.finditer(_as_lower(group[d]))]
+                    out.append((ids[at + d], item_id, distance, first, last, places[first][0], places[last - 1][1], closest))
                 at += len(group)
-            columns = list(zip(*out)) or [[]] * 7
-            types = [batch.schema.field("doc_id").type, pa.int64(), pa.int32(), *[pa.int64()] * 4]
-            names = ["doc_id", "item_id", "distance", "start_word", "end_word", "start", "end"]
+            columns = list(zip(*out)) or [[]] * 8
+            types = [batch.schema.field("doc_id").type, pa.int64(), pa.int32(), *[pa.int64()] * 4, pa.bool_()]
+            names = ["doc_id", "item_id", "distance", "start_word", "end_word", "start", "end", "closest"]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
 
         return map_batches(rows, work, schema)
@@ -223,11 +238,11 @@ def _as_lower(text: str) -> str:
 _ready: dict[str, Benchmark] = {}
 
 
-def _prepared(number: str, items: list[tuple[int, str]], rate: float, least_words: int) -> Benchmark:
+def _prepared(number: str, items: list[tuple[int, str]], rate: float, exact_below: int) -> Benchmark:
     """The block's patterns, built once in each worker; of other blocks none is kept."""
     if number not in _ready:
         _ready.clear()
-        _ready[number] = Benchmark(items, rate, least_words)
+        _ready[number] = Benchmark(items, rate, exact_below)
     return _ready[number]
 
 

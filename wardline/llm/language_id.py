@@ -56,7 +56,8 @@ for _i, _ranges in enumerate(SCRIPTS.values()):
 
 
 def words(text: str) -> list[str]:
-    return WORD.findall(text.lower())
+    """Runs of word characters but digits that hold a letter; fractions, Roman numerals and the like are none."""
+    return [w for w in WORD.findall(text.lower()) if w.isalpha() or any(map(str.isalpha, w))]
 
 
 def grams(batch: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
