@@ -857,7 +857,9 @@ def csv_split_ranges(spark, sf):
     path = scratch_path(spark, "plain-csv")
     note = F.concat_ws("\n", "props", "event_type", F.concat(F.lit('"'), F.col("user_id").cast("string"), F.lit('", ')))
     rows = read_table(spark, sf, "events").select("event_id", note.alias("note"), "value")
-    rows.coalesce(1).write.option("header", True).option("escape", '"').csv(path)
+    # Spaces at a field's ends stay.
+    writer = rows.coalesce(1).write.option("header", True).option("escape", '"')
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
     files = [r["path"] for r in tail.files_of(spark, path).select("path").collect()]
     found = csv_split.records(spark, files, _CSV_RANGE_BYTES)
     parsed = csv_split.read_records(found, rows.schema)

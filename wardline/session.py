@@ -95,14 +95,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     """Write ``df`` as a scratch Parquet table and read it back.
 
     Cuts lineage, survives lost executors and, unlike a checkpoint, still lets
-    later scans prune columns and row groups.
+    later scans prune columns and row groups. A ``path`` from ``scratch_path``
+    outside of a scope outlives the scope.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, label)
+    path = path or scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
