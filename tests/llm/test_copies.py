@@ -114,3 +114,17 @@ def test_semi_join_splits_hot_keys(spark):
     counted = rows.groupBy("k").count().where("k IN (0, 2, 5)")
     got = semi_join(rows, counted, ["k"], "count")
     assert ids(got.collect(), "k", "v") == ids(rows.where("k IN (0, 2, 5)").collect(), "k", "v")
+
+
+def test_many_near_copies_of_one_null_id(spark):
+    """Sets are read again by their texts: 500 rows share one id, and each goes through Python once."""
+    draw = random.Random(11)
+    base = [f"w{draw.randrange(10**5)}" for _ in range(80)]
+    docs = []
+    for i in range(500):
+        own = list(base)
+        own[i % 3] = f"x{i}"
+        docs.append((None, " ".join(own)))
+    docs += [(7, " ".join(base)), (8, "another text of more than five words")]
+    out = ngram_join.classes(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()
+    assert sorted({(r.doc_id, r.component_id) for r in out}, key=str) == [(7, 7), (8, 8), (None, 7)] and len(out) == 502

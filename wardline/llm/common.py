@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.session import materialize
+from wardline.session import materialize, scratch_path, scratch_scope
 
 # The separators of words in the results' definitions.
 WORD_GAP = r"[\x20\x09-\x0D]+"
@@ -29,6 +29,13 @@ def store(df: DataFrame, label: str) -> DataFrame:
     return materialize(df, f"llm-{label}")
 
 
+def store_alone(spark: SparkSession, label: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """What ``make`` builds, stored; the tables that it stores on the way are deleted."""
+    path = scratch_path(spark, f"llm-{label}")
+    with scratch_scope(spark):
+        return materialize(make(), label, path)
+
+
 def hash_remainder(column: str, divisor: int, remainder: int) -> Column:
     """Whether crc32 of the id as text leaves this remainder; null ids leave none."""
     return F.coalesce(F.crc32(F.col(column).cast("string")) % divisor == remainder, F.lit(False))

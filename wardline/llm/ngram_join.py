@@ -22,11 +22,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.common import column, in_groups, store, texts
+from wardline.llm.common import column, in_groups, store, store_alone, texts
 from wardline.llm.components import components
 from wardline.llm.skew import semi_join
 from wardline.llm.substring_dedup import _BASES, _mix, rolling, text_key
-from wardline.session import BROADCAST_LIMIT_BYTES, lookup_side
+from wardline.session import BROADCAST_LIMIT_BYTES, lookup_side, materialize, scratch_path, scratch_scope
 
 SHINGLE = 5
 PERCENT = 80
@@ -113,7 +113,7 @@ def _keys(text: np.ndarray, token: np.ndarray, n_texts: int) -> tuple[np.ndarray
 
 
 def _base(rows: DataFrame, shingle: int) -> DataFrame:
-    """uid, doc_id, s1, s2, n, prefix: the set's key and size, and its prefix in hash order, a tenth longer."""
+    """uid, doc_id, t1, t2, s1, s2, n, prefix: the set's key and size, and its prefix in hash order, a tenth longer."""
 
     def run(batches):
         uid = TaskContext.get().partitionId() << 36
@@ -129,16 +129,17 @@ def _base(rows: DataFrame, shingle: int) -> DataFrame:
                 cuts = np.concatenate([[0], np.cumsum(take)]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(cuts), pa.array(token[keep].view(np.int64)))
                 numbers = uid + np.arange(len(group))
+                same = [column(batch, c).slice(at, len(group)) for c in ("doc_id", "t1", "t2")]
                 parts.append(pa.RecordBatch.from_arrays(
-                    [pa.array(numbers), column(batch, "doc_id").slice(at, len(group)), pa.array(s1), pa.array(s2), pa.array(n), lists],
-                    ["uid", "doc_id", "s1", "s2", "n", "prefix"],
+                    [pa.array(numbers), *same, pa.array(s1), pa.array(s2), pa.array(n), lists],
+                    ["uid", "doc_id", "t1", "t2", "s1", "s2", "n", "prefix"],
                 ))
                 at += len(group)
                 uid += len(group)
             yield from parts
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"uid bigint, doc_id {kind}, s1 bigint, s2 bigint, n bigint, prefix array<bigint>")
+    return rows.mapInArrow(run, f"uid bigint, doc_id {kind}, t1 bigint, t2 bigint, s1 bigint, s2 bigint, n bigint, prefix array<bigint>")
 
 
 def _sets(rows: DataFrame, shingle: int) -> DataFrame:
@@ -233,35 +234,41 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _linked_classes(sets: DataFrame) -> DataFrame:
-    """node, component over the sets' keys: components of the links between different sets."""
+    """node, component over the sets' keys: components of the links between different sets.
+
+    A round keeps its links, labels and what is left of the index; all else that it stores is deleted at its end.
+    """
     spark = sets.sparkSession
-    index = store(_index(sets), "index")
+    index = store_alone(spark, "index", lambda: _index(sets))
     labels = spark.createDataFrame([], "node bigint, component bigint")
     edges, pivots_per_key = None, FIRST_PIVOTS
     while True:
-        placed = index.join(labels.withColumnRenamed("node", "c"), "c", "left")
-        placed = store(placed.select("key", "c", "n", "k", F.coalesce("component", "c").alias("label")), "placed")
-        counted = placed.groupBy("key").agg(F.count("*").alias("rows"), F.min("label").alias("low"), F.max("label").alias("high"))
-        open_keys = store(counted.where("low <> high").select("key", "rows"), "open-keys")
-        if open_keys.isEmpty():
-            return labels
-        placed = store(semi_join(placed, open_keys, ["key"], "rows"), "open-index")
-        cell = F.pmod(F.xxhash64("c"), F.lit(pivots_per_key))
-        # A set with few tokens of its own is in the middle of a group of near copies, and links most of them.
-        own = ((F.col("n") - F.col("k")) / F.col("n")).alias("own")
-        entry = F.struct(own, F.xxhash64("c").alias("o"), F.col("c").alias("pivot"), F.col("n").alias("m"), F.col("k").alias("l"), F.col("label").alias("other"))
-        pivots = store(placed.groupBy("key", cell.alias("cell")).agg(F.min(entry).alias("p")).select("key", "p.pivot", "p.m", "p.l", "p.other"), "pivots")
-        # Two sets share at most what either shares with anyone.
-        most = F.least("k", "l")
-        possible = 100 * most >= PERCENT * (F.col("n") + F.col("m") - most)
-        pairs = placed.join(pivots, "key").where((F.col("label") != F.col("other")) & possible)
-        pairs = store(pairs.select(F.col("c").alias("a"), F.col("pivot").alias("b")).distinct(), "pairs")
-        links = store(_verified(pairs, sets), "links")
-        edges = links if edges is None else edges.unionByName(links)
-        labels = store(components(edges), "labels")
-        # A pivot has met all of its key.
-        done = pivots.select("key", F.col("pivot").alias("c"))
-        index = store(placed.select("key", "c", "n", "k").join(done, ["key", "c"], "left_anti"), "index")
+        kept = {label: scratch_path(spark, f"llm-{label}") for label in ("links", "labels", "index")}
+        with scratch_scope(spark):
+            placed = index.join(labels.withColumnRenamed("node", "c"), "c", "left")
+            placed = store(placed.select("key", "c", "n", "k", F.coalesce("component", "c").alias("label")), "placed")
+            counted = placed.groupBy("key").agg(F.count("*").alias("rows"), F.min("label").alias("low"), F.max("label").alias("high"))
+            open_keys = store(counted.where("low <> high").select("key", "rows"), "open-keys")
+            if open_keys.isEmpty():
+                return labels
+            placed = store(semi_join(placed, open_keys, ["key"], "rows"), "open-index")
+            cell = F.pmod(F.xxhash64("c"), F.lit(pivots_per_key))
+            # A set with few tokens of its own is in the middle of a group of near copies, and links most of them.
+            own = ((F.col("n") - F.col("k")) / F.col("n")).alias("own")
+            entry = F.struct(own, F.xxhash64("c").alias("o"), F.col("c").alias("pivot"), F.col("n").alias("m"), F.col("k").alias("l"), F.col("label").alias("other"))
+            pivots = store(placed.groupBy("key", cell.alias("cell")).agg(F.min(entry).alias("p")).select("key", "p.pivot", "p.m", "p.l", "p.other"), "pivots")
+            # Two sets share at most what either shares with anyone.
+            most = F.least("k", "l")
+            possible = 100 * most >= PERCENT * (F.col("n") + F.col("m") - most)
+            pairs = placed.join(pivots, "key").where((F.col("label") != F.col("other")) & possible)
+            pairs = store(pairs.select(F.col("c").alias("a"), F.col("pivot").alias("b")).distinct(), "pairs")
+            links = materialize(_verified(pairs, sets), "links", kept["links"])
+            edges = links if edges is None else edges.unionByName(links)
+            labels = materialize(components(edges), "labels", kept["labels"])
+            # A pivot has met all of its key.
+            done = pivots.select("key", F.col("pivot").alias("c"))
+            left = placed.select("key", "c", "n", "k").join(done, ["key", "c"], "left_anti")
+            index = materialize(left, "index", kept["index"])
         pivots_per_key *= 8
 
 
@@ -272,12 +279,14 @@ def classes(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     and empty texts have no shingles and are linked with nothing. Repeated rows stay; other columns are
     not looked at. Sets are compared by 64-bit tokens, and told apart by 128 bits where they are equal.
     """
-    rows = texts(docs)
+    spark = docs.sparkSession
+    rows = texts(docs).select("*", *text_key(F.col("text")))
     base = store(_base(rows, shingle), "sets")
-    survivors = store(_survivors(base), "survivors")
-    chosen = survivors.join(base.select("uid", "doc_id"), "uid").select("doc_id", F.col("s1").alias("wanted"))
-    wanted = lookup_side(store(chosen, "wanted")).withColumnRenamed("doc_id", "id")
-    found = _sets(rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("id"))).select("text", "wanted"), shingle)
+    survivors = store_alone(spark, "survivors", lambda: _survivors(base))
+    # A set is read again from one row: by its text, as ids may be null or repeat, and of copies by the id.
+    chosen = survivors.join(base.select("uid", "doc_id", "t1", "t2"), "uid").select("t1", "t2", F.col("doc_id").alias("id"), F.col("s1").alias("wanted"))
+    again = rows.join(lookup_side(store(chosen, "wanted")), ["t1", "t2"]).where(F.col("doc_id").eqNullSafe(F.col("id")))
+    found = _sets(again.select("text", "wanted"), shingle)
     sets = store(found.dropDuplicates(["s1"]), "survivor-sets")
     labels = _linked_classes(sets)
     placed = base.select("doc_id", "n", "s1", "s2").join(labels.withColumnRenamed("node", "s1"), "s1", "left")
