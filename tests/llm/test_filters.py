@@ -4,6 +4,7 @@ import brute
 import compare
 import pytest
 from helpers import plan
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from wardline.llm import catalog, decontaminate, quality, secret_scan, url_filter
@@ -71,6 +72,50 @@ def test_urls_with_links_equal_sql(spark, fresh_dir):
     assert url_filter.judge(df.limit(0), RULES).count() == 0
 
 
+LINKS = [
+    # (page, target, what it means), written by hand after the URL standard
+    ("http://a.org/d/p", "?q=2", "http://a.org/d/p?q=2"),
+    ("http://a.org/d/p?x=1", "#top", "http://a.org/d/p?x=1#top"),
+    ("http://a.org/d/p", "../x", "http://a.org/x"),
+    ("http://a.org/d/p", "../../../x/./y", "http://a.org/x/y"),
+    ("http://a.org/d/e/", "..", "http://a.org/d/"),
+    ("http://a.org/d/p", "./", "http://a.org/d/"),
+    ("http://a.org", "x", "http://a.org/x"),
+    ("http://a.org?q", "x?y=../z", "http://a.org/x?y=../z"),
+    ("http://a.org/d/p", "/e/../f", "http://a.org/f"),
+    ("https://a.org/d/p", "//b.org/x", "https://b.org/x"),
+    ("http://a.org/d/p", "https://b.org/x", "https://b.org/x"),
+    ("http://a.org/d/p", "mailto:me@b.org", "mailto:me@b.org"),
+    ("http://a.org/d/p", "", None),
+]
+
+
+def test_targets_are_resolved_as_browsers_do(spark):
+    rows = spark.createDataFrame([(i, *x) for i, x in enumerate(LINKS)], "i int, page string, link string, wanted string")
+    got = rows.select("i", "wanted", url_filter.absolute(F.col("link"), F.col("page")).alias("got")).collect()
+    assert [(r.i, r.got) for r in got] == [(r.i, r.wanted) for r in got]
+
+
+def test_links_of_any_tag_and_their_verdicts(spark, fresh_dir):
+    """Verdicts written by hand: what is an alias of the blocked page http://bad.net/x?a=1&b=2."""
+    link = '<link rel="{}" href="{}">'
+    pages = [
+        (1, "http://bad.net/x?a=1&b=2", None, "block"),
+        (2, "http://p.io/1", link.format("alternate canonical", "http://bad.net/x?a=1&amp;b=2"), "block"),
+        (3, "http://p.io/2", link.format("canonical-like", "http://bad.net/x?a=1&amp;b=2"), "allow"),
+        (4, "http://p.io/3", link.format("canonical", "http://q.io/") + "<link href='http://p.io/1' rel=canonical>", "block"),
+        (5, "http://p.io/d/4", "<base target=_top href='http://p.io/'>" + link.format("canonical", "1"), "block"),
+        (6, "http://p.io/d/5", link.format("canonical", "1"), "allow"),
+        (7, "http://q.io/", "<meta http-equiv=refresh content='0; url=mailto:x'>", "block"),
+        (8, "http://p.io/6", '<link data-rel="canonical" href="http://p.io/1">', "allow"),
+    ]
+    df = spark.createDataFrame([p[:3] for p in pages], "page_id bigint, url string, html string")
+    connection = write(spark, fresh_dir, pages=df)
+    view(connection, fresh_dir, "pages")
+    agrees(spark, connection, "op10_url_filter", fresh_dir)
+    assert {r.page_id: r.verdict for r in url_filter.judge(df, RULES).collect()} == {p[0]: p[3] for p in pages}
+
+
 def test_redirect_table_spreads_blocks(spark):
     pages = spark.createDataFrame([(1, "http://a.org/"), (2, "http://b.org/")], "page_id int, url string").selectExpr("*", "CAST(NULL AS string) AS html")
     moved = spark.createDataFrame([("http://a.org/", "http://bad.net/"), ("http://z.org/", None)], "url string, target string")

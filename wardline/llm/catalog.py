@@ -128,22 +128,55 @@ def _rule(host: str, path: str, of: int) -> str:
     return f"CASE {' '.join(cases)} END"
 
 
+def _attribute_sql(tag: str, name: str) -> str:
+    pattern = _literal(url_filter.attribute(name))
+    return "(" + " || ".join(f"coalesce(regexp_extract({tag}, {pattern}, {k}), '')" for k in (1, 2, 3)) + ")"
+
+
+def _without_dots_sql(path: str) -> str:
+    parts = f"string_split({path}, '/')"
+    closed = f"(CASE WHEN regexp_matches({path}, '(^|/)[.][.]?$') THEN list_append({parts}, '') ELSE {parts} END)"
+    step = "CASE WHEN x[1] = '.' THEN acc WHEN x[1] = '..' THEN acc[1:greatest(len(acc) - 1, 1)] ELSE list_concat(acc, x) END"
+    return f"array_to_string(list_reduce([[x] FOR x IN {closed}], lambda acc, x: {step}), '/')"
+
+
+def _absolute_sql(target: str, base: str) -> str:
+    root = f"regexp_extract({base}, '^(.*?://[^/?#]*)', 1, 's')"
+    path = f"('/' || regexp_replace({_path(base)}, '^/', ''))"
+    folder = f"regexp_extract({path}, '^(.*/)', 1, 's')"
+    own, rest = f"regexp_extract({target}, '^([^?#]*)', 1, 's')", f"regexp_extract({target}, '^[^?#]*(.*)', 1, 's')"
+    return f"""CASE WHEN coalesce({target}, '') = '' THEN NULL
+    WHEN regexp_matches({target}, '{url_filter.SCHEME}') THEN {target}
+    WHEN starts_with({target}, '//') THEN regexp_extract({base}, '^(.*?)://', 1, 's') || ':' || {target}
+    WHEN starts_with({target}, '/') THEN {root} || {_without_dots_sql(own)} || {rest}
+    WHEN starts_with({target}, '?') THEN {root} || {path} || {target}
+    WHEN starts_with({target}, '#') THEN {root} || {path} || regexp_extract({base}, '^[^?#]*([?][^#]*)', 1, 's') || {target}
+    ELSE {root} || {_without_dots_sql(folder + " || " + own)} || {rest} END"""
+
+
+def _decoded_sql(target: str) -> str:
+    return f"trim(regexp_replace({target}, '{url_filter.AMPERSANDS}', '&', 'g'))"
+
+
+def _literal(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
 _URL_SQL = f"""
-WITH RECURSIVE found AS (
-  SELECT url, unnest([
-    regexp_extract(regexp_extract(html, '(?i)<link\\b[^>]*\\brel\\s*=\\s*["'']?canonical\\b[^>]*>', 0),
-      '(?i)\\bhref\\s*=\\s*["'']?([^"''\\s>]+)', 1),
-    regexp_extract(regexp_extract(html, '(?i)<meta\\b[^>]*\\bhttp-equiv\\s*=\\s*["'']?refresh\\b[^>]*>', 0),
-      '(?i)\\burl\\s*=\\s*["'']?([^"''\\s>]+)', 1)]) AS t
-  FROM pages WHERE url IS NOT NULL
+WITH RECURSIVE tag AS (
+  SELECT url, {_decoded_sql(_attribute_sql(f"regexp_extract(html, {_literal(url_filter.BASE_TAG)}, 0)", "href"))} AS shift,
+    list_concat(
+      [{_attribute_sql("t", "href")} FOR t IN regexp_extract_all(html, {_literal(url_filter.LINK_TAG)}, 0)
+        IF regexp_matches({_attribute_sql("t", "rel")}, {_literal(url_filter.CANONICAL)})],
+      [regexp_extract(t, {_literal(url_filter.REFRESH_TARGET)}, 1) FOR t IN regexp_extract_all(html, {_literal(url_filter.REFRESH_TAG)}, 0)]
+    ) AS targets
+  FROM pages WHERE url IS NOT NULL AND html IS NOT NULL
+), based AS (
+  SELECT url, coalesce({_absolute_sql("shift", "url")}, url) AS base, targets FROM tag
+), found AS (
+  SELECT url, base, {_decoded_sql("t")} AS t FROM (SELECT url, base, unnest(targets) AS t FROM based)
 ), target AS (
-  SELECT url, CASE
-    WHEN contains(t, '://') THEN t
-    WHEN starts_with(t, '//') THEN regexp_extract(url, '^(.*?)://', 1, 's') || ':' || t
-    WHEN starts_with(t, '/') THEN regexp_extract(url, '^(.*?://[^/?#]*)', 1, 's') || t
-    ELSE regexp_extract(url, '^(.*?://[^/?#]*)', 1, 's')
-      || regexp_extract('/' || ltrim({_path("url")}, '/'), '^(.*/)', 1, 's') || t END AS target
-  FROM found WHERE t <> ''
+  SELECT url, {_absolute_sql("t", "base")} AS target FROM found WHERE t <> ''
 ), link AS (
   SELECT DISTINCT {_host("url")} || regexp_extract(url, '^.*?://[^/?#]*([^#]*)', 1, 's') AS a,
     {_host("target")} || regexp_extract(target, '^.*?://[^/?#]*([^#]*)', 1, 's') AS b
@@ -167,10 +200,6 @@ SELECT page_id, host, path, rule,
 FROM judged LEFT JOIN alias ON node = a
 """
 
-def _literal(text: str) -> str:
-    return "'" + text.replace("'", "''") + "'"
-
-
 def _spans_sql(rank: int, kind: str, pattern: str, group: int = 0, keep: str = "TRUE") -> str:
     """Spans of one kind: what lies between matches, and the matches, one after the other."""
     p = _literal(pattern)

@@ -13,10 +13,24 @@ from wardline.llm.components import components
 # (verdict, host, path)
 Rule = tuple[str, str, str]
 
-LINK_TAG = r"(?i)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>"
+LINK_TAG = r"(?i)<link\b[^>]*>"
 REFRESH_TAG = r"(?i)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>"
-LINK_TARGET = r"(?i)\bhref\s*=\s*[\"']?([^\"'\s>]+)"
+BASE_TAG = r"(?i)<base\b[^>]*>"
 REFRESH_TARGET = r"(?i)\burl\s*=\s*[\"']?([^\"'\s>]+)"
+CANONICAL = r"(?i)(^|\s)canonical(\s|$)"
+# A scheme of its own: such a target is not relative.
+SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:"
+# Fixed value: the ways an ampersand is written in an attribute.
+AMPERSANDS = "&(amp|#38|#x26);"
+
+
+def attribute(name: str) -> str:
+    """Pattern of an attribute's value in a tag; one of its three groups holds it."""
+    return rf"""(?i)[\s"']{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+
+
+def _value(tag: Column, name: str) -> Column:
+    return F.concat(*[F.regexp_extract(tag, attribute(name), k) for k in (1, 2, 3)])
 
 
 def lower_ascii(c: Column) -> Column:
@@ -54,29 +68,54 @@ def fitting_rule(host: Column, path: Column, rules: Sequence[Rule], of: int) ->
     return out
 
 
+def without_dots(path: Column) -> Column:
+    """A path without its ``.`` and ``..`` segments."""
+    parts = F.split(path, "/", -1)
+    last = F.element_at(parts, -1)
+    # A dot segment at the end stands for a folder.
+    closed = F.when(last.isin(".", ".."), F.concat(parts, F.array(F.lit("")))).otherwise(parts)
+
+    def step(acc: Column, s: Column) -> Column:
+        up = F.when(F.size(acc) > 1, F.slice(acc, F.lit(1), F.size(acc) - 1)).otherwise(acc)
+        return F.when(s == ".", acc).when(s == "..", up).otherwise(F.array_append(acc, s))
+
+    left = F.aggregate(F.slice(closed, F.lit(2), F.size(closed)), F.array(F.get(parts, F.lit(0))), step)
+    return F.array_join(left, "/")
+
+
 def absolute(target: Column, base: Column) -> Column:
-    """A link's target as seen from the page ``base``; null without a target."""
+    """A link's target as seen from the page ``base``, as the URL standard resolves it; null without a target."""
     scheme = F.regexp_extract(base, r"(?s)^(.*?)://", 1)
     root = F.concat(scheme, F.lit("://"), F.regexp_extract(base, r"(?s)^.*?://([^/?#]*)", 1))
-    folder = F.regexp_extract(F.concat(F.lit("/"), F.ltrim(path_of(base), F.lit("/"))), r"(?s)^(.*/)", 1)
+    path = F.concat(F.lit("/"), F.regexp_replace(path_of(base), "^/", ""))
+    folder = F.regexp_extract(path, r"(?s)^(.*/)", 1)
+    query = F.regexp_extract(base, r"(?s)^[^?#]*(\?[^#]*)", 1)
+    own, rest = F.regexp_extract(target, r"(?s)^([^?#]*)", 1), F.regexp_extract(target, r"(?s)^[^?#]*(.*)", 1)
     return (
         F.when(F.coalesce(target, F.lit("")) == "", None)
-        .when(F.contains(target, F.lit("://")), target)
+        .when(F.rlike(target, F.lit(SCHEME)), target)
         .when(F.startswith(target, F.lit("//")), F.concat(scheme, F.lit(":"), target))
-        .when(F.startswith(target, F.lit("/")), F.concat(root, target))
-        .otherwise(F.concat(root, folder, target))
+        .when(F.startswith(target, F.lit("/")), F.concat(root, without_dots(own), rest))
+        .when(F.startswith(target, F.lit("?")), F.concat(root, path, target))
+        .when(F.startswith(target, F.lit("#")), F.concat(root, path, query, target))
+        .otherwise(F.concat(root, without_dots(F.concat(folder, own)), rest))
     )
 
 
+def _decoded(target: Column) -> Column:
+    return F.trim(F.regexp_replace(target, AMPERSANDS, "&"))
+
+
 def link_edges(pages: DataFrame) -> DataFrame:
-    """url, target: canonical links and refresh redirects found in the pages' HTML."""
+    """url, target: all canonical links and refresh redirects in the pages' HTML, seen from the page's ``base`` element if it has one."""
     html = F.coalesce("html", F.lit(""))
-    found = F.array(
-        F.regexp_extract(F.regexp_extract(html, LINK_TAG, 0), LINK_TARGET, 1),
-        F.regexp_extract(F.regexp_extract(html, REFRESH_TAG, 0), REFRESH_TARGET, 1),
-    )
-    links = pages.where("url IS NOT NULL").select("url", F.explode(found).alias("_target"))
-    return links.where("_target <> ''").select("url", absolute(F.col("_target"), F.col("url")).alias("target"))
+    links = F.filter(F.regexp_extract_all(html, F.lit(LINK_TAG), F.lit(0)), lambda t: F.rlike(_value(t, "rel"), F.lit(CANONICAL)))
+    moved = F.transform(F.regexp_extract_all(html, F.lit(REFRESH_TAG), F.lit(0)), lambda t: F.regexp_extract(t, REFRESH_TARGET, 1))
+    found = F.concat(F.transform(links, lambda t: _value(t, "href")), moved)
+    shift = absolute(_decoded(_value(F.regexp_extract(html, BASE_TAG, 0), "href")), F.col("url"))
+    rows = pages.where("url IS NOT NULL").select("url", F.coalesce(shift, "url").alias("_base"), F.explode(found).alias("_target"))
+    rows = rows.select("url", "_base", _decoded(F.col("_target")).alias("_target")).where("_target <> ''")
+    return rows.select("url", absolute(F.col("_target"), F.col("_base")).alias("target"))
 
 
 def judge(pages: DataFrame, rules: Sequence[Rule], redirects: DataFrame | None = None) -> DataFrame:
