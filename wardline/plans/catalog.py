@@ -379,17 +379,12 @@ def flag_distribution(spark, sf):
     return report.flag_distribution(_features(spark, sf))
 
 
-def _vocabulary_size(tables):
-    listed = ft.medication_list(tables.drugs, tables.features)
-    return len(ft.vocabulary_terms(ft.vocabulary(listed)))
-
-
 @query(f"WITH {_FEATURES}, {_REPORT} SELECT * FROM report")
 def dataset_report(spark, sf):
     tables = _tables(spark, sf)
-    vectors = flows.vectors(tables)
+    vocabulary = flows.terms(tables)
     return report.dataset_report(
-        tables.features, vectors, _vocabulary_size(tables)
+        tables.features, flows.vectors(tables, vocabulary), len(vocabulary)
     ).withColumn("value", F.round("value", 6))
 
 
@@ -402,7 +397,7 @@ def dataset_report(spark, sf):
 def analysis_report(spark, sf):
     tables = _tables(spark, sf)
     return report.analysis_report(
-        tables.features, tables.features, tables.drugs, _vocabulary_size(tables)
+        tables.features, tables.features, tables.drugs, len(flows.terms(tables))
     ).withColumn("value", F.round("value", 6))
 
 

@@ -66,8 +66,12 @@ def feature_tables(
     return FeatureTables(features, drugs)
 
 
-def vectors(tables: FeatureTables, size: int = 30, min_stays: int = 5) -> DataFrame:
-    """Feature rows with ``clinical_features`` and ``drug_features``."""
+def terms(tables: FeatureTables, size: int = 30, min_stays: int = 5) -> list[str]:
+    """The drugs of the vocabulary; computing it runs a job."""
     listed = ft.medication_list(tables.drugs, tables.features)
-    terms = ft.vocabulary_terms(ft.vocabulary(listed, size, min_stays))
-    return ft.vectorize(tables.features, tables.drugs, terms)
+    return ft.vocabulary_terms(ft.vocabulary(listed, size, min_stays))
+
+
+def vectors(tables: FeatureTables, vocabulary: list[str] | None = None) -> DataFrame:
+    """Feature rows with ``clinical_features`` and ``drug_features``; the latter over ``terms`` unless given."""
+    return ft.vectorize(tables.features, tables.drugs, terms(tables) if vocabulary is None else vocabulary)

@@ -53,9 +53,9 @@ def read_csv_text(
     read together, and a column that a file lacks is null in its rows. Reading
     the headers costs a small read of each file. ``ragged`` names an extra
     column that holds the whole line where it has more or fewer fields than the
-    header, and null elsewhere. Plain files are split over tasks; without
-    ``multi_line`` a quoted field may not hold a line break, which saves reading
-    them twice.
+    header, and null elsewhere. Plain files are split over tasks: they are read
+    here and now, twice, and their records stored as a scratch table. Without
+    ``multi_line`` a quoted field may not hold a line break, which saves that.
     """
     reader = (
         spark.read.option("header", True)
