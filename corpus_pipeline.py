@@ -2,6 +2,9 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept; its result is written and read
 again as the next one's docs. The first four return the columns of ``documents``.
+
+All stages take null ids, texts, sources and langs, repeated rows, texts of any length, empty tables (they give none)
+and further columns, which stay up to the last stage. Null texts count as empty.
 """
 
 from __future__ import annotations
@@ -14,22 +17,25 @@ from wardline.llm.common import read, store
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejected documents go; lines too frequent on a host are taken out of the others."""
+    """Rejected documents go, null and empty texts among them; lines too frequent on a host are taken out of the others.
+
+    Null sources are one host. Near copies do not reject each other; they are the next stage's.
+    """
     return quality.clean(docs)
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked documents stays."""
+    """One document of each group of linked documents stays: that of the smallest doc_id, nulls last, then by a key of its text."""
     return ngram_join.one_of_each(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark passage go."""
+    """Documents that hold a benchmark passage go, with all rows of the same text; an empty benchmark takes none."""
     return decontaminate.without_leaks(docs, read(spark, sf_dir, "benchmark"))
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are masked."""
+    """Secrets are masked, and n_chars follows; null texts stay null. Overlapping ones become one mask, named by the first."""
     return secret_scan.mask(docs)
 
 
