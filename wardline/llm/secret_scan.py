@@ -223,7 +223,7 @@ def scan(docs: DataFrame, reach: int = REACH) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans and n_linked of every row.
 
     Null text counts as empty and has no spans; repeated rows stay repeated; ids may be null; other
-    columns are not looked at. Texts of any length are taken whole.
+    columns are not looked at; empty tables give no rows. Texts of any length are taken whole.
     """
     text = F.coalesce("text", F.lit(""))
     found = docs.select("doc_id", *_text_key(), *[s.alias("_" + k) for k, s in base_spans(text).items()])

@@ -325,7 +325,10 @@ def _read_docs(shard: Shard, wanted: np.ndarray | None = None) -> dict:
 
 
 def read_store(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32 and the ids (packed unsigned 32-bit) of every document, found through the index."""
+    """doc_id, start, n_tokens, ids_crc32 and the ids (packed unsigned 32-bit) of every document, found through the index.
+
+    Rows of null or repeated keys are there as often as they were written; an empty store gives no rows.
+    """
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for k in range(batch.num_rows):

@@ -125,7 +125,7 @@ def judge(pages: DataFrame, rules: Sequence[Rule], redirects: DataFrame | None =
     canonical links, refresh redirects or rows of ``redirects`` (url, target) are aliases: a page
     without a rule is blocked if an alias is blocked by a rule and none is allowed by one, else allowed.
     A null url, or one without ``://``, has empty host and path, fits only rules for an empty host,
-    and has no aliases. Repeated rows stay; other columns are not looked at.
+    and has no aliases. Null html has no links. Repeated rows stay; empty tables give no rows; other columns are not looked at.
     Aliases reach pages over a join on a stored table of the nodes that have links.
     """
     base = pages.select("page_id", "url", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
