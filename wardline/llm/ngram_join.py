@@ -217,6 +217,17 @@ def _index(sets: DataFrame) -> DataFrame:
     return common.mapInArrow(run, "key bigint, c bigint, n bigint, k bigint")
 
 
+def _different(index: DataFrame) -> DataFrame:
+    """The index with one key of those that have the same sets: the others would give the same pairs again.
+
+    A long passage that many texts share gives hundreds of such keys. Lists are told apart by their length and 128 bits.
+    """
+    same = [F.bit_xor(F.xxhash64("c", F.lit(salt))) for salt in (1, 2)]
+    lists = index.groupBy("key").agg(F.count("*").alias("rows"), same[0].alias("x"), same[1].alias("y")).where("rows > 1")
+    chosen = store(lists.groupBy("rows", "x", "y").agg(F.min("key").alias("key")).select("key", "rows"), "keys")
+    return semi_join(index, chosen, ["key"], "rows")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """a, b of the pairs (a, pivot b) that reach the similarity.
 
@@ -239,7 +250,7 @@ def _linked_classes(sets: DataFrame) -> DataFrame:
     A round keeps its links, labels and what is left of the index; all else that it stores is deleted at its end.
     """
     spark = sets.sparkSession
-    index = store_alone(spark, "index", lambda: _index(sets))
+    index = store_alone(spark, "index", lambda: _different(store(_index(sets), "all-keys")))
     labels = spark.createDataFrame([], "node bigint, component bigint")
     edges, pivots_per_key = None, FIRST_PIVOTS
     while True:
