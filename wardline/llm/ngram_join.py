@@ -274,8 +274,9 @@ def _linked_classes(sets: DataFrame) -> DataFrame:
             pairs = placed.join(pivots, "key").where((F.col("label") != F.col("other")) & possible)
             pairs = store(pairs.select(F.col("c").alias("a"), F.col("pivot").alias("b")).distinct(), "pairs")
             links = materialize(_verified(pairs, sets), "links", kept["links"])
-            edges = links if edges is None else edges.unionByName(links)
-            labels = materialize(components(edges), "labels", kept["labels"])
+            if not links.isEmpty():
+                edges = links if edges is None else edges.unionByName(links)
+                labels = materialize(components(edges), "labels", kept["labels"])
             # A pivot has met all of its key.
             done = pivots.select("key", F.col("pivot").alias("c"))
             left = placed.select("key", "c", "n", "k").join(done, ["key", "c"], "left_anti")
