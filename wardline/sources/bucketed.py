@@ -12,7 +12,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 
-from wardline.session import materialize, partitions_for, scratch_path
+from wardline.session import materialize, measured_bytes, partitions_for, scratch_path
 
 BUCKET_BYTES = 128 * 1024 * 1024
 
@@ -23,6 +23,15 @@ def bucket_count(*frames: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> int:
     return 1 << (need - 1).bit_length()
 
 
+def row_bucket_count(*frames: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> int:
+    """Like ``bucket_count``, by the measured size of the rows rather than of their compressed files.
+
+    A bucket is read, sorted and combined by one task, which holds its rows as they are, not as they are stored.
+    """
+    need = max(1, *(-(-measured_bytes(f) // bucket_bytes) for f in frames))
+    return 1 << (need - 1).bit_length()
+
+
 class Buckets(NamedTuple):
     """Tables as read back, by name, and their names in the session's catalog."""
 
@@ -46,7 +55,7 @@ def store_bucketed(
     spark = next(iter(frames.values())).sparkSession
     root = root or scratch_path(spark, "buckets")
     stored = {name: materialize(df, f"unbucketed-{name}") for name, df in frames.items()}
-    n = bucket_count(*stored.values(), bucket_bytes=bucket_bytes)
+    n = max(bucket_count(*stored.values(), bucket_bytes=bucket_bytes), row_bucket_count(*stored.values(), bucket_bytes=bucket_bytes))
     out = Buckets({}, {})
     for name, df in stored.items():
         table = f"bucketed_{name}_{uuid.uuid4().hex[:12]}"
