@@ -16,10 +16,12 @@ they lie, and one slice of the payload.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from array import array
 from collections.abc import Iterator
+from contextlib import contextmanager
 from itertools import chain
 
 import numpy as np
@@ -39,6 +41,7 @@ REMEMBERED_BYTES = 24 * 1024 * 1024
 ENCODED_AT_ONCE = 4_096
 ROWS_AT_ONCE = 1_000
 MOST_KEYS = 1_000
+PARALLELISM = "TOKENIZERS_PARALLELISM"
 
 _MIX = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB], np.uint64)
 
@@ -144,6 +147,20 @@ class KeyIndex:
         return cls(levels, before, rest, take("<u4", size), first, count)
 
 
+@contextmanager
+def _single_threaded() -> Iterator[None]:
+    """The tokenizers library without its thread pool; the setting before is restored after."""
+    before = os.environ.get(PARALLELISM)
+    os.environ[PARALLELISM] = "false"
+    try:
+        yield
+    finally:
+        if before is None:
+            del os.environ[PARALLELISM]
+        else:
+            os.environ[PARALLELISM] = before
+
+
 class WordEncoder:
     """The tokenizers library behind a memory of words.
 
@@ -179,10 +196,14 @@ class WordEncoder:
         return (stem.lower() if stem.isascii() else stem), marks
 
     def _learn(self, stems: list[str]) -> None:
-        """Encode stems into ``stems``."""
+        """Encode stems into ``stems``.
+
+        A task has one core: the library's own thread pool would only spin on it, so it is off while stems are encoded.
+        """
         for at in range(0, len(stems), ENCODED_AT_ONCE):
             some = stems[at : at + ENCODED_AT_ONCE]
-            ids = [e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+            with _single_threaded():
+                ids = [e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
             packed, begin = array(self.kind, chain.from_iterable(ids)).tobytes(), 0
             for stem, own in zip(some, ids):
                 end = begin + self.width * len(own)
